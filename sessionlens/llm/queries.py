@@ -5,29 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_classifier, quality_rules, secret_scan
+from . import pii, quality_classifier, quality_rules, secret_scan, sentencepiece_scan, source_mixing
 from .shared import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = sentencepiece_scan.encoded(table(spark, sf_dir, "documents"))
+    ids = F.sha2(F.array_join("token_ids", ","), 256)
+    return tokens.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.col("exact").alias("round_trip"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
     return secret_scan.span_digests(found, "doc_id", ("assign", "access", "hex"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digests(pii.spans_found(table(spark, sf_dir, "documents")), "doc_id", pii.BASE)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mixing.mixed(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "row.source", "epoch", "n_tokens", "weight", "order_key")
+
+
+ORACLES["op9_source_mixing"] = r"""
+    WITH t AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens, coalesce(source, chr(0) || 'null') AS s, md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS own FROM documents),
+    k AS (SELECT *, substr(md5('mix-1|' || s || '|' || substr(own, 1, 2)), 1, 8) || own AS key FROM t),
+    g AS (SELECT s, sum(n_tokens) AS tokens FROM k GROUP BY s),
+    p AS (SELECT s, CAST(tokens AS BIGINT) AS tokens, tokens / (SELECT CAST(sum(tokens) AS DOUBLE) FROM g) AS share FROM g WHERE tokens > 0),
+    a AS (SELECT CASE WHEN max(share) = min(share) THEN 0 ELSE greatest(0, ceil((1 - ln(1.5) / ln(max(share) / min(share))) * 16777216)) / 16777216 END AS power FROM p),
+    r AS (SELECT p.*, pow(share, power) AS raised FROM p, a),
+    z AS (SELECT sum(raised) AS z, min(raised / share) AS least FROM r),
+    w AS (SELECT s, tokens, round(raised / z.z, 9) AS weight, round(raised / share / z.least, 9) AS times FROM r, z),
+    c AS (SELECT k.*, coalesce(w.weight, 0) AS weight, coalesce(floor(w.times), 1) AS epochs, floor((w.times - floor(w.times)) * w.tokens) AS rest, sum(n_tokens) OVER (PARTITION BY k.s ORDER BY key RANGE UNBOUNDED PRECEDING) AS total FROM k LEFT JOIN w ON k.s = w.s),
+    e AS (SELECT *, unnest(range(CAST(epochs + CASE WHEN rest > 0 AND total <= rest THEN 1 ELSE 0 END AS BIGINT))) AS epoch FROM c)
+    SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, n_tokens, weight,
+      substr(md5('mix-1|' || epoch || '|' || s || '|' || substr(md5('mix-1|' || epoch || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 2)), 1, 8) || md5('mix-1|' || epoch || '|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS order_key
+    FROM e
+"""
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.scored(docs, quality_classifier.fitted(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
+    "op6_pii": op6_pii,
     "op7_quality_rules": op7_quality_rules,
+    "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
