@@ -2,7 +2,7 @@
 
 A word is a maximal run of characters other than space and U+0009 to U+000D. All of
 those are single bytes in UTF-8, and no other character has such a byte, so words can be
-found in the encoded text. Texts are taken in slabs of a few megabytes (or one text, if it
+found in the encoded text. Texts are taken in slabs of a megabyte (or one text, if it
 is longer), which bounds the memory.
 
 Hashes are 64 bit polynomials over random byte codes, finished by a mixing step. They
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLAB_BYTES = 2_000_000
+SLAB_BYTES = 1_000_000
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20_240_607))
 _CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
