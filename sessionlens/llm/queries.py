@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_topk, html_extract, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_scan, source_mixing
+from . import bitsliced_topk, html_extract, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_scan, source_mixing, substring_dedup
 from .shared import table
 
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,10 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = sentencepiece_scan.encoded(table(spark, sf_dir, "documents"))
     ids = F.sha2(F.array_join("token_ids", ","), 256)
@@ -43,8 +47,8 @@ def op8_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_bitsliced_topk"] = """
-    WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-      WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
@@ -80,6 +84,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extract": op2_html_extract,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_pii": op6_pii,
