@@ -1,14 +1,15 @@
 """A corpus pipeline from the operators of the corpus subpackage.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again as the next stage's ``docs``.
+and read again as the next stage's ``docs``. All but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import quality_rules
+from sessionlens.llm import near_dedup, pii, quality_rules, sentencepiece_scan, source_mixing
 from sessionlens.llm.shared import stored, table
 
 
@@ -17,7 +18,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filtered(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates (five-word shingles, similarity of 0.8)."""
+    kept = near_dedup.classes(docs).filter("kept or component_id is null").select("doc_id")
+    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by their kind; n_chars is that of the new text."""
+    return pii.masked(docs, chars_col="n_chars")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents of small sources so that the sources meet their weights; every document stays."""
+    return source_mixing.mixed(docs).select(*[f"row.`{c}`" for c in docs.columns])
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text."""
+    return sentencepiece_scan.encoded(docs).selectExpr("doc_id", "cast(size(token_ids) as bigint) n_tokens", "token_ids")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("personal data", personal_data),
+    ("source mixing", mixing),
+    ("tokens", tokens),
+]
 
 #: SQL cannot express the stages; tests hold them against plain versions.
 ORACLE_SQL = None

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_topk, html_extract, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_scan, source_mixing, substring_dedup
+from . import bitsliced_topk, html_extract, near_dedup, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_scan, source_mixing, substring_dedup
 from .shared import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"), config=near_dedup.NearConfig(words=2))
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_extract.extracted(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -83,6 +87,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_html_extract": op2_html_extract,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
