@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from . import vector_queries  # noqa: F401
+from . import interval_queries, vector_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
