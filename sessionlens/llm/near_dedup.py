@@ -95,7 +95,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, config: NearConfig) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for slab in slabs(batch.column(1).to_pylist(), lower=True):
+            for slab in slabs(batch.column(1), lower=True):
                 n = len(slab)
                 sets = [shingle_set(slab.hashes[slab.bounds[i] : slab.bounds[i + 1]], config.words) for i in range(n)]
                 regs = np.concatenate([registers(s).view(np.int64) for s in sets])

@@ -1,38 +1,40 @@
 """Removal of passages that stand in several documents, by prefix-partitioned suffix trees.
 
-A window is ``size`` consecutive words (a suffix of a document, cut at that depth). A word is
-removed if it lies in a window whose word sequence also starts in a document with a smaller
-id. The suffix tree is built only where it can have deep internal nodes:
-
-1. Of every window the 25-word run (half a window) with the least hash is its anchor. Equal
-   windows have equal anchors, and neighbouring windows mostly share theirs, so that a text
-   has about one anchor for 13 words.
-2. Anchors are the prefixes that partition the tree. Those with a single document have a leaf
-   below them and are dropped. Texts whose word sequence is that of an earlier document are
-   removed as a whole before (each of their windows starts there).
-3. For the anchors that remain, the windows of their documents are the suffixes. Suffixes meet
-   by the hash of their prefix of ``size`` words, a depth at which every subtree is one group of
-   equal keys: a deep internal node. Its smallest document id is all that is asked, which is a
-   sum-like reduction made before the shuffle, so that a passage that stands in a third of all
-   documents is never gathered in one task. Nodes travel as hashes and never as texts.
-4. The windows of each document under nodes with a smaller document id give the removed words.
-
-Hashes have 64 bits. Defined results: null and empty texts have no words and the digest of the
-empty text; documents shorter than a window lose nothing; rows of equal id and text get equal
-results, and rows of equal id and other text are judged against smaller ids only; null ids
-count as the largest and are never a source of removal; an empty table gives an empty result;
+A suffix is what follows a word of a document. A passage of ``size`` words that stands in two
+documents is a path of the suffix tree to an internal node of that depth or more. A word is
+removed if it lies in such a passage whose word sequence also starts in a document with a
+smaller id.
+
+1. Suffixes that cannot lie below a deep internal node are left out. Of every run of ``size``
+   words the half-as-long run with the least hash is its anchor: equal passages have equal
+   anchors, and neighbours mostly share theirs (about one anchor for 13 words). Only suffixes
+   whose anchor stands in two documents are built. Texts whose word sequence is that of an
+   earlier document are removed as a whole and take no part.
+2. Variable-length prefixes split the suffixes into groups. Suffixes are counted by their first
+   ``ladder[0]`` words; prefixes with more than ``group_suffixes`` are prolonged to the next
+   length, and so on. Each group has at most that many suffixes, whatever the corpus.
+3. A group is one subtree, held as the sorted array of its suffixes with the depths at which
+   neighbours part. Its deep internal nodes are the runs of neighbours that agree in ``size``
+   words. They give the repeats: every suffix below a node with an earlier document.
+4. A prefix that is still too frequent at the last length is a passage of very many documents.
+   Its deep nodes are reduced to their smallest id before the shuffle and joined in shares, so
+   that a passage that stands in a third of all documents is never gathered in one task.
+5. The places of each document are united: neighbouring ones form one maximal repeat.
+
+Suffixes travel as 64 bit hashes of their prefixes and never as texts. Defined results: null and
+empty texts have no words; documents shorter than ``size`` lose nothing; rows of equal id and text
+get equal results, and rows of equal id and other text are judged against smaller ids only; null
+ids count as the largest and are never a source of removal; an empty table gives an empty result;
 columns besides id and text are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,18 +42,21 @@ from .shared import stored
 from .words import slabs, whole, windows
 
 _LAST = np.iinfo(np.int64).max
+_SHARES = 16
 
 
 @dataclass(frozen=True)
 class SubstringConfig:
     size: int = 50
+    ladder: tuple[int, ...] = (6, 12, 25)  # words of a prefix
+    group_suffixes: int = 4096
 
 
 def anchors(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Position and hash of each window's anchor: its run of size // 2 words with the least hash (the first of equals)."""
+    """Position and hash of each passage's anchor: its run of size // 2 words with the least hash (the first of equals)."""
     half = max(1, size // 2)
     runs = windows(hashes, half)
-    span = size - half + 1  # runs of one window
+    span = size - half + 1  # runs of one passage
     if len(runs) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     best = np.arange(len(runs))
@@ -65,111 +70,161 @@ def anchors(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, runs[at]
 
 
-def kept_words(words: list[bytes], starts: np.ndarray, size: int) -> tuple[int, list[bytes]]:
-    """Number of removed words, and the others, if the windows at ``starts`` are removed."""
-    cover = np.zeros(len(words) + 1, np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + size, -1)
-    gone = np.cumsum(cover[:-1]) > 0
-    return int(gone.sum()), [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+def covered(places: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Which of n words lie in the passages that begin at ``places``."""
+    cover = np.zeros(n + 1, np.int64)
+    np.add.at(cover, places, 1)
+    np.add.at(cover, places + size, -1)
+    return np.cumsum(cover[:-1]) > 0
 
 
-def _sha(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def runs_of(mask: np.ndarray) -> np.ndarray:
+    """Begin and end of each run of true values, as rows."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
+    return edge.reshape(-1, 2)
 
 
-def first_look(docs: DataFrame, config: SubstringConfig) -> DataFrame:
-    """Per row: id, n_words, two hashes of the word sequence, the digest of all words, and its distinct anchors."""
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+
+
+def _values(column: pa.ListArray, i: int) -> np.ndarray:
+    """One list as an array; null is empty."""
+    item = column[i].values
+    return np.zeros(0, np.int64) if item is None else item.to_numpy(zero_copy_only=False)
+
+
+def first_look(rows: DataFrame, config: SubstringConfig) -> DataFrame:
+    """Per row: id, t, number of words, two hashes of the word sequence, and its distinct anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for slab in slabs(batch.column(1).to_pylist()):
-                n, raw = len(slab), slab.data.tobytes()
-                cols: list[list] = [[], [], [], [], []]
-                for i in range(n):
-                    a, b = slab.bounds[i], slab.bounds[i + 1]
-                    h = slab.hashes[a:b]
-                    cols[0].append(int(b - a))
-                    cols[1].append(whole(h, 1))
-                    cols[2].append(whole(h, 2))
-                    cols[3].append(_sha(raw[slab.at[i] : slab.at[i + 1]].split()) if b > a else _sha([]))
-                    cols[4].append(np.unique(anchors(h, config.size)[1]).view(np.int64))
-                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in cols[4]])]).astype(np.int32), pa.array(np.concatenate([np.zeros(0, np.int64), *cols[4]])))
-                yield pa.RecordBatch.from_arrays([ids.slice(slab.first, n), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string()), lists], names=["id", "n_words", "h1", "h2", "sha", "anchors"])
+            for slab in slabs(batch.column(2)):
+                n = len(slab)
+                words = [slab.hashes[slab.bounds[i] : slab.bounds[i + 1]] for i in range(n)]
+                sums = [pa.array([whole(h, k) for h in words], pa.int64()) for k in (1, 2)]
+                marks = _lists([np.unique(anchors(h, config.size)[1]).view(np.int64) for h in words])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(slab.first, n), batch.column(1).slice(slab.first, n), pa.array(list(map(len, words)), pa.int64()), *sums, marks], names=["id", "t", "n", "h1", "h2", "anchors"])
 
-    return docs.mapInArrow(run, "id long, n_words long, h1 long, h2 long, sha string, anchors array<long>")
+    return rows.mapInArrow(run, "id long, t int, n long, h1 long, h2 long, anchors array<long>")
 
 
-def _shared_windows(size: int):
-    """Rows of texts with their shared anchors to one row a window below such an anchor."""
+def suffixes_of(texts: DataFrame, config: SubstringConfig) -> DataFrame:
+    """Suffixes whose anchor is shared: id, spot (t and place), hashes of their prefixes, and of their first ``size`` words."""
+    names = [*(f"p{k}" for k in range(len(config.ladder))), "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, shared = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for slab in slabs(batch.column(1).to_pylist()):
-                who, texts, keys, places = [], [], [], []
+            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for slab in slabs(batch.column(2)):
+                who, spots, keys = [], [], [[] for _ in names]
                 for i in range(len(slab)):
                     h = slab.hashes[slab.bounds[i] : slab.bounds[i + 1]]
-                    _, anchor = anchors(h, size)
-                    at = np.flatnonzero(np.isin(anchor.view(np.int64), np.array(shared[slab.first + i], np.int64)))
-                    keys.append(windows(h, size)[at].view(np.int64))
-                    places.append(at)
+                    at = np.flatnonzero(np.isin(anchors(h, config.size)[1].view(np.int64), _values(batch.column(3), slab.first + i)))
+                    for out, length in zip(keys, (*config.ladder, config.size), strict=True):
+                        out.append(windows(h, length)[at].view(np.int64))
+                    spots.append(np.int64(marks[slab.first + i]) << np.int64(32) | at)
                     who.append(np.full(len(at), ids[slab.first + i], np.int64))
-                    texts.append(np.full(len(at), whole(h, 1), np.int64))
                 if sum(map(len, who)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (who, texts, keys, places)], names=["id", "h1", "node", "place"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (who, spots, *keys)], names=["id", "spot", *names])
+
+    return texts.select("id", "t", "text", "shared").mapInArrow(run, "id long, spot long, " + ", ".join(f"{x} long" for x in names))
+
+
+def _subtrees(levels: int):
+    """Sorted suffixes to those below a deep internal node with an earlier document.
+
+    The columns are the prefix hashes, node, id and spot, in this order of sorting. Depth 0 to
+    ``levels`` says how many prefixes two neighbours have in common; beyond it, they agree in
+    ``size`` words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, first = None, 0  # keys of the last suffix, and the smallest id of its node
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(k).to_numpy() for k in range(levels + 1)])
+            ids = batch.column(levels + 1).to_numpy()
+            same = np.logical_and.accumulate(keys[:, 1:] == keys[:, :-1], axis=0).sum(axis=0)  # depths at which neighbours part
+            begins = np.concatenate([[last is None or bool((keys[:, 0] != last).any())], same <= levels])
+            heads = np.flatnonzero(begins)
+            least = np.concatenate([[first], ids[heads]])[np.cumsum(begins)]  # ids ascend below a node
+            last, first = keys[:, -1].copy(), int(least[-1])
+            late = np.flatnonzero(least < ids)
+            yield pa.RecordBatch.from_arrays([batch.column(levels + 1).take(pa.array(late)), batch.column(levels + 2).take(pa.array(late))], names=["id", "spot"])
 
     return run
 
 
-def _removed(size: int):
+def repeats(suffixes: DataFrame, config: SubstringConfig) -> DataFrame:
+    """id and spot of the suffixes that an earlier document repeats in ``size`` words; ``suffixes`` is a stored table."""
+    levels = len(config.ladder)
+    keys = [*(f"p{k}" for k in range(levels)), "node"]
+    rest, groups = suffixes, None
+    for k in range(levels):  # prolong the prefixes of too many suffixes
+        prefix = F.col(f"p{k}").alias("label")
+        many = stored(rest.groupBy(prefix).agg(F.count("*").alias("n")).filter(F.col("n") > config.group_suffixes).select("label"), f"substring-prefixes-{k}")
+        rows = rest.select("*", prefix)
+        light = rows.join(many, "label", "left_anti")
+        groups = light if groups is None else groups.unionByName(light)
+        rest = rows.join(many, "label", "left_semi").drop("label")
+        if many.isEmpty():
+            rest = None
+            break
+    order = [*keys, "id"]
+    found = groups.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(levels), "id long, spot long")
+    if rest is None:
+        return found
+    nodes = rest.groupBy("node").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("node", "first", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share"))
+    late = rest.withColumn("share", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES)).cast("int")).join(nodes, ["node", "share"]).filter(F.col("first") < F.col("id"))
+    return found.unionByName(late.select("id", "spot"))
+
+
+def _kept(config: SubstringConfig):
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places, owner = batch.column(0), batch.column(2).to_pylist(), batch.column(3)
-            for slab in slabs(batch.column(1).to_pylist()):
+            copies = batch.column(3).to_numpy(zero_copy_only=False)
+            for slab in slabs(batch.column(2), hashed=False):
                 n, raw = len(slab), slab.data.tobytes()
-                text, gone, sha = [], [], []
+                counts, spans, texts = [], [], []
                 for i in range(n):
-                    text.append(whole(slab.hashes[slab.bounds[i] : slab.bounds[i + 1]], 1))
-                    words = raw[slab.at[i] : slab.at[i + 1]].split()
-                    g, kept = kept_words(words, np.array(places[slab.first + i], np.int64), size)
-                    gone.append(g)
-                    sha.append(_sha(kept))
-                out = pa.RecordBatch.from_arrays([ids.slice(slab.first, n), pa.array(text, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha)], names=["id", "h1", "n_removed", "new_sha"])
-                yield out.filter(pc.equal(out.column(1), owner.slice(slab.first, n)))  # an id may stand for several texts
+                    a, b = int(slab.bounds[i]), int(slab.bounds[i + 1])
+                    places = _values(batch.column(4), slab.first + i)
+                    mask = np.ones(b - a, bool) if copies[slab.first + i] else covered(places, b - a, config.size)
+                    gone = runs_of(mask)
+                    edges = np.concatenate([[0], gone.ravel(), [b - a]]).reshape(-1, 2)  # runs of kept words
+                    counts.append(b - a)
+                    spans.append([{"start": x, "end": y} for x, y in gone.tolist()])
+                    kept = [raw[slab.starts[a + x] : slab.ends[a + y - 1]] for x, y in edges.tolist() if y > x]
+                    texts.append(b" ".join(w for part in kept for w in part.split()).decode("utf-8", "surrogatepass"))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(slab.first, n), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(texts, pa.string())], names=["id", "n_words", "removed", "kept"])
 
     return run
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: SubstringConfig = SubstringConfig()) -> DataFrame:
-    """Per row: id, n_words, n_removed and kept_sha256."""
-    size = config.size
+    """Per row: id, n_words, removed (maximal repeats: begin and end of each, in words) and kept (the other words, joined by a space)."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    look = stored(first_look(rows, config), "substring-looks")
+    rows = rows.select("id", F.hash("text").alias("t"), "text")  # an id may stand for several texts
+    look = stored(first_look(rows, config), "substring-looks").filter(F.col("n") >= config.size)
 
-    # Texts with the word sequence of a smaller id lose everything; the others are the trees' texts.
-    least = look.filter(F.col("n_words") >= size).groupBy("h1", "h2").agg(F.min("id").alias("least"))
-    unique = look.filter(F.col("n_words") >= size).join(least.select(F.col("least").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
-    marks = stored(unique.select("id", F.explode("anchors").alias("anchor")), "substring-anchors")
+    # Texts with the word sequence of a smaller id lose everything; the others are the tree's texts.
+    least = look.groupBy("h1", "h2").agg(F.min("id").alias("least"))
+    known = stored(look.join(least, ["h1", "h2"]).select("id", "t", "anchors", (F.col("least") < F.col("id")).alias("copy")), "substring-texts")
+    marks = known.filter("not copy").select("id", "t", F.explode("anchors").alias("anchor"))
     forked = marks.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("anchor")
-    shared = stored(marks.join(forked, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("shared")), "substring-shared")
-
-    texts = rows.join(shared, "id")
-    suffixes = stored(texts.select("id", "text", "shared").mapInArrow(_shared_windows(size), "id long, h1 long, node long, place long"), "substring-suffixes")
-    nodes = suffixes.groupBy("node").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("node", "first")
-    later = suffixes.join(nodes, "node").filter(F.col("first") < F.col("id"))
-    places = stored(later.groupBy("id", "h1").agg(F.collect_set("place").alias("places")), "substring-places")
-    changed = rows.join(places, "id").select("id", "text", "places", "h1").mapInArrow(_removed(size), "id long, h1 long, n_removed long, new_sha string")
-    changed = changed.distinct()
-
-    copies = look.join(least, ["h1", "h2"], "left").withColumn("copy", F.coalesce(F.col("least") < F.col("id"), F.lit(False)))
-    out = copies.join(changed, ["id", "h1"], "left")
-    empty = F.sha2(F.lit("").cast("binary"), 256)
+    shared = stored(marks.join(forked, "anchor").groupBy("id", "t").agg(F.collect_set("anchor").alias("shared")), "substring-shared")
+    suffixes = stored(suffixes_of(rows.join(shared, ["id", "t"]), config), "substring-suffixes")
+    found = repeats(suffixes, config)
+    place = F.col("spot").bitwiseAND(0xFFFFFFFF)
+    places = stored(found.groupBy("id", F.shiftright("spot", 32).cast("int").alias("t")).agg(F.collect_set(place).alias("places")), "substring-places")
+
+    copies = known.filter("copy").select("id", "t", F.lit(True).alias("copy")).distinct()
+    told = rows.join(copies, ["id", "t"], "left").join(places, ["id", "t"], "left").select("id", "t", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "places")
+    out = told.mapInArrow(_kept(config), "id long, n_words long, removed array<struct<start: long, end: long>>, kept string")
     ident = F.when(F.col("id") != _LAST, F.col("id")).cast(docs.schema[id_col].dataType)
-    return out.select(
-        ident.alias(id_col),
-        "n_words",
-        F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("copy"), empty).otherwise(F.coalesce("new_sha", "sha")).alias("kept_sha256"),
-    )
+    return out.select(ident.alias(id_col), "n_words", "removed", "kept")

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 SLAB_BYTES = 1_000_000
 _U = np.uint64
@@ -73,12 +74,14 @@ class Slab:
         return len(self.bounds) - 1
 
 
-def slabs(texts: list[str | None], lower: bool = False, hashed: bool = True) -> Iterator[Slab]:
-    """Slabs of whole texts, in order. ``lower`` folds A-Z only; null counts as empty."""
-    part: list[bytes] = []
+def slabs(texts: list[str | None] | pa.Array, lower: bool = False, hashed: bool = True) -> Iterator[Slab]:
+    """Slabs of whole texts, in order. ``lower`` folds A-Z only; null counts as empty.
+
+    The bytes of an Arrow column of strings are used where they lie.
+    """
+    part: list = []
     size = first = 0
-    for i, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "surrogatepass")
+    for i, raw in enumerate(_encoded(texts)):
         if part and size + len(raw) > SLAB_BYTES:
             yield _slab(part, first, lower, hashed)
             part, size, first = [], 0, i
@@ -88,7 +91,22 @@ def slabs(texts: list[str | None], lower: bool = False, hashed: bool = True) ->
         yield _slab(part, first, lower, hashed)
 
 
-def _slab(part: list[bytes], first: int, lower: bool, hashed: bool) -> Slab:
+def _encoded(texts: list[str | None] | pa.Array) -> Iterator[bytes | memoryview]:
+    if not isinstance(texts, pa.Array):
+        yield from ((t or "").encode("utf-8", "surrogatepass") for t in texts)
+        return
+    if not len(texts):
+        return
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, edges, data = texts.buffers()
+    at = np.frombuffer(edges, wide)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    bytes_of = memoryview(data if data is not None else b"")
+    there = texts.is_valid().to_pylist() if texts.null_count else [True] * len(texts)
+    for a, b, has in zip(at, at[1:], there, strict=False):
+        yield bytes_of[a:b] if has else b""
+
+
+def _slab(part: list, first: int, lower: bool, hashed: bool) -> Slab:
     data = np.frombuffer(b"\n".join(part) + b"\n", np.uint8)
     if lower:
         data = _LOWER[data]
@@ -100,15 +118,22 @@ def _slab(part: list[bytes], first: int, lower: bool, hashed: bool) -> Slab:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[0::2], edge[1::2]  # the last byte separates, so that each word ends
     hashes = np.zeros(len(starts), np.uint64)
-    if hashed and len(starts):
-        n = len(data)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODE[data] * powers(_BYTE_BASE, n), out=sums[1:])
-        back = powers(inverse(_BYTE_BASE), n)
-        hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    a = 0
+    while hashed and a < len(starts):  # a megabyte of a very long text at a time
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + SLAB_BYTES, "right")))
+        hashes[a:b] = _word_hashes(data[starts[a] : ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a])
+        a = b
     return Slab(first, data, at, starts, ends, hashes, np.searchsorted(starts, at))
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = len(data)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_CODE[data] * powers(_BYTE_BASE, n), out=sums[1:])
+    back = powers(inverse(_BYTE_BASE), n)
+    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words; none if there are fewer words."""
     n = len(hashes)
