@@ -16,12 +16,13 @@ smaller id.
 3. A group is one subtree, held as the sorted array of its suffixes with the depths at which
    neighbours part. Its deep internal nodes are the runs of neighbours that agree in ``size``
    words. They give the repeats: every suffix below a node with an earlier document.
-4. A prefix that is still too frequent at the last length is a passage of very many documents.
-   Its deep nodes are reduced to their smallest id before the shuffle and joined in shares, so
-   that a passage that stands in a third of all documents is never gathered in one task.
+4. A deep node of more suffixes is a passage of very many documents. It is reduced to its
+   smallest id before the shuffle, and its suffixes are dealt out in shares that have a row with
+   that id as a guest, so that a passage of a third of all documents is in no single task.
 5. The places of each document are united: neighbouring ones form one maximal repeat.
 
-Suffixes travel as 64 bit hashes of their prefixes and never as texts. Defined results: null and
+Suffixes travel as hashes of their prefixes (32 bits, which only deal out groups) and of their
+first ``size`` words (64 bits), never as texts. Defined results: null and
 empty texts have no words; documents shorter than ``size`` lose nothing; rows of equal id and text
 get equal results, and rows of equal id and other text are judged against smaller ids only; null
 ids count as the largest and are never a source of removal; an empty table gives an empty result;
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from .shared import stored
 from .words import slabs, whole, windows
 
 _LAST = np.iinfo(np.int64).max
-_SHARES = 16
+_SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -122,14 +124,15 @@ def suffixes_of(texts: DataFrame, config: SubstringConfig) -> DataFrame:
                 for i in range(len(slab)):
                     h = slab.hashes[slab.bounds[i] : slab.bounds[i + 1]]
                     at = np.flatnonzero(np.isin(anchors(h, config.size)[1].view(np.int64), _values(batch.column(3), slab.first + i)))
-                    for out, length in zip(keys, (*config.ladder, config.size), strict=True):
-                        out.append(windows(h, length)[at].view(np.int64))
+                    for out, length in zip(keys, config.ladder, strict=False):
+                        out.append((windows(h, length)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                    keys[-1].append(windows(h, config.size)[at].view(np.int64))
                     spots.append(np.int64(marks[slab.first + i]) << np.int64(32) | at)
                     who.append(np.full(len(at), ids[slab.first + i], np.int64))
                 if sum(map(len, who)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (who, spots, *keys)], names=["id", "spot", *names])
 
-    return texts.select("id", "t", "text", "shared").mapInArrow(run, "id long, spot long, " + ", ".join(f"{x} long" for x in names))
+    return texts.select("id", "t", "text", "shared").mapInArrow(run, "id long, spot long, " + ", ".join(f"{x} int" for x in names[:-1]) + ", node long")
 
 
 def _subtrees(levels: int):
@@ -145,7 +148,7 @@ def _subtrees(levels: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(k).to_numpy() for k in range(levels + 1)])
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(levels + 1)])
             ids = batch.column(levels + 1).to_numpy()
             same = np.logical_and.accumulate(keys[:, 1:] == keys[:, :-1], axis=0).sum(axis=0)  # depths at which neighbours part
             begins = np.concatenate([[last is None or bool((keys[:, 0] != last).any())], same <= levels])
@@ -160,26 +163,26 @@ def _subtrees(levels: int):
 
 def repeats(suffixes: DataFrame, config: SubstringConfig) -> DataFrame:
     """id and spot of the suffixes that an earlier document repeats in ``size`` words; ``suffixes`` is a stored table."""
-    levels = len(config.ladder)
-    keys = [*(f"p{k}" for k in range(levels)), "node"]
-    rest, groups = suffixes, None
-    for k in range(levels):  # prolong the prefixes of too many suffixes
-        prefix = F.col(f"p{k}").alias("label")
-        many = stored(rest.groupBy(prefix).agg(F.count("*").alias("n")).filter(F.col("n") > config.group_suffixes).select("label"), f"substring-prefixes-{k}")
-        rows = rest.select("*", prefix)
-        light = rows.join(many, "label", "left_anti")
-        groups = light if groups is None else groups.unionByName(light)
-        rest = rows.join(many, "label", "left_semi").drop("label")
+    prefixes = [f"p{k}" for k in range(len(config.ladder))]
+    order = [*prefixes, "node", "id"]
+    rest, groups = suffixes, []
+    for name in (*prefixes, "node"):  # prolong the prefixes of too many suffixes
+        label = F.col(name).cast("long").alias("label")
+        counts = rest.groupBy(label).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(x) for x in prefixes])
+        many = stored(counts.filter(F.col("n") > config.group_suffixes), f"substring-{name}")
+        rows = rest.select(label, *order, "spot")
+        groups.append(rows.join(many.select("label"), "label", "left_anti"))
         if many.isEmpty():
-            rest = None
             break
-    order = [*keys, "id"]
-    found = groups.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(levels), "id long, spot long")
-    if rest is None:
-        return found
-    nodes = rest.groupBy("node").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("node", "first", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share"))
-    late = rest.withColumn("share", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES)).cast("int")).join(nodes, ["node", "share"]).filter(F.col("first") < F.col("id"))
-    return found.unionByName(late.select("id", "spot"))
+        rest = rows.join(many.select("label"), "label", "left_semi").drop("label")
+    else:
+        # a deep node with too many suffixes: shares of it, each with the node's smallest id as a guest
+        groups.append(rest.select(F.xxhash64("node", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES))).alias("label"), *order, "spot"))
+        share = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share")
+        guests = many.select("label", *prefixes, "first", share).select(F.xxhash64("label", F.col("share").cast("long")).alias("label"), *prefixes, F.col("label").alias("node"), F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
+        groups.append(guests)
+    every = reduce(DataFrame.unionByName, groups)
+    return every.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(len(prefixes)), "id long, spot long")
 
 
 def _kept(config: SubstringConfig):
