@@ -33,7 +33,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -165,24 +164,29 @@ def repeats(suffixes: DataFrame, config: SubstringConfig) -> DataFrame:
     """id and spot of the suffixes that an earlier document repeats in ``size`` words; ``suffixes`` is a stored table."""
     prefixes = [f"p{k}" for k in range(len(config.ladder))]
     order = [*prefixes, "node", "id"]
-    rest, groups = suffixes, []
+    rows, label, rest = suffixes, None, F.lit(True)
     for name in (*prefixes, "node"):  # prolong the prefixes of too many suffixes
-        label = F.col(name).cast("long").alias("label")
-        counts = rest.groupBy(label).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(x) for x in prefixes])
+        counts = rows.filter(rest).groupBy(name).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(f"_{x}") for x in prefixes])
         many = stored(counts.filter(F.col("n") > config.group_suffixes), f"substring-{name}")
-        rows = rest.select(label, *order, "spot")
-        groups.append(rows.join(many.select("label"), "label", "left_anti"))
         if many.isEmpty():
             break
-        rest = rows.join(many.select("label"), "label", "left_semi").drop("label")
+        rows = rows.join(many.select(name, F.lit(True).alias(f"many_{name}")), name, "left")  # at most a row for group_suffixes of the suffixes
+        own = F.when(rest & F.col(f"many_{name}").isNull(), F.col(name).cast("long"))
+        label, rest = own if label is None else F.coalesce(label, own), rest & F.col(f"many_{name}").isNotNull()
     else:
-        # a deep node with too many suffixes: shares of it, each with the node's smallest id as a guest
-        groups.append(rest.select(F.xxhash64("node", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES))).alias("label"), *order, "spot"))
-        share = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share")
-        guests = many.select("label", *prefixes, "first", share).select(F.xxhash64("label", F.col("share").cast("long")).alias("label"), *prefixes, F.col("label").alias("node"), F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
-        groups.append(guests)
-    every = reduce(DataFrame.unionByName, groups)
-    return every.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(len(prefixes)), "id long, spot long")
+        # a deep node of too many suffixes: shares of it, each with the node's smallest id as a guest
+        name = None
+    guests = None
+    if name is None:
+        last = F.xxhash64("node", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES)))
+        share = F.explode(F.expr(f"sequence(0L, {_SHARES - 1}L)")).alias("share")
+        guests = many.select("node", "first", *[f"_{x}" for x in prefixes], share).select(F.xxhash64("node", "share").alias("label"), *[F.col(f"_{x}").alias(x) for x in prefixes], "node", F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
+    else:
+        last = F.col(name).cast("long")
+    dealt = rows.select((last if label is None else F.coalesce(label, last)).alias("label"), *order, "spot")
+    if guests is not None:
+        dealt = dealt.unionByName(guests)
+    return dealt.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(len(prefixes)), "id long, spot long")
 
 
 def _kept(config: SubstringConfig):
