@@ -164,28 +164,20 @@ def repeats(suffixes: DataFrame, config: SubstringConfig) -> DataFrame:
     """id and spot of the suffixes that an earlier document repeats in ``size`` words; ``suffixes`` is a stored table."""
     prefixes = [f"p{k}" for k in range(len(config.ladder))]
     order = [*prefixes, "node", "id"]
-    rows, label, rest = suffixes, None, F.lit(True)
-    for name in (*prefixes, "node"):  # prolong the prefixes of too many suffixes
-        counts = rows.filter(rest).groupBy(name).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(f"_{x}") for x in prefixes])
-        many = stored(counts.filter(F.col("n") > config.group_suffixes), f"substring-{name}")
-        if many.isEmpty():
-            break
+    rows, label, rest = suffixes, F.lit(None).cast("long"), F.lit(True)
+    for name in (*prefixes, "node"):  # prolong the prefixes of too many suffixes; the others count as one null
+        key = F.when(rest, F.col(name)).alias(name)
+        counts = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(f"_{x}") for x in prefixes])
+        many = stored(counts.filter(F.col(name).isNotNull() & (F.col("n") > config.group_suffixes)), f"substring-{name}")
         rows = rows.join(many.select(name, F.lit(True).alias(f"many_{name}")), name, "left")  # at most a row for group_suffixes of the suffixes
-        own = F.when(rest & F.col(f"many_{name}").isNull(), F.col(name).cast("long"))
-        label, rest = own if label is None else F.coalesce(label, own), rest & F.col(f"many_{name}").isNotNull()
-    else:
-        # a deep node of too many suffixes: shares of it, each with the node's smallest id as a guest
-        name = None
-    guests = None
-    if name is None:
-        last = F.xxhash64("node", F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES)))
-        share = F.explode(F.expr(f"sequence(0L, {_SHARES - 1}L)")).alias("share")
-        guests = many.select("node", "first", *[f"_{x}" for x in prefixes], share).select(F.xxhash64("node", "share").alias("label"), *[F.col(f"_{x}").alias(x) for x in prefixes], "node", F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
-    else:
-        last = F.col(name).cast("long")
-    dealt = rows.select((last if label is None else F.coalesce(label, last)).alias("label"), *order, "spot")
-    if guests is not None:
-        dealt = dealt.unionByName(guests)
+        frequent = F.coalesce(F.col(f"many_{name}"), F.lit(False))
+        label, rest = F.coalesce(label, F.when(rest & ~frequent, F.col(name).cast("long"))), rest & frequent
+    # a deep node of too many suffixes: shares of it, each with the node's smallest id as a guest
+    share = F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES))
+    dealt = rows.select(F.coalesce(label, F.xxhash64("node", share)).alias("label"), *order, "spot")
+    guests = many.select("node", "first", *[F.col(f"_{x}").alias(x) for x in prefixes], F.explode(F.expr(f"sequence(0L, {_SHARES - 1}L)")).alias("share"))
+    guests = guests.select(F.xxhash64("node", "share").alias("label"), *prefixes, "node", F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
+    dealt = dealt.unionByName(guests)
     return dealt.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(len(prefixes)), "id long, spot long")
 
 
