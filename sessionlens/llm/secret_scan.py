@@ -60,10 +60,29 @@ def _brute(part: str) -> float:
     return len(part) * math.log10(max(sizes, 10))
 
 
-def part_costs(value: str, i: int, config: SecretConfig) -> Iterator[tuple[int, float, str]]:
+class Runs:
+    """From each position of a value: how far one character, a keyboard walk, or a block of 2 to 8 goes on. Linear in the length."""
+
+    def __init__(self, value: str):
+        low, n = value.lower(), len(value)
+        low = low if len(low) == n else value
+        self.low = low
+        self.same, self.walk = [1] * n, [1] * n
+        self.again = {size: [0] * (n + 1) for size in range(2, 9)}  # characters equal to those ``size`` further on
+        for i in range(n - 2, -1, -1):
+            if low[i] == low[i + 1]:
+                self.same[i] = self.same[i + 1] + 1
+            if (low[i], low[i + 1]) in _STEPS:
+                self.walk[i] = self.walk[i + 1] + 1
+            for size, often in self.again.items():
+                if i + size < n and value[i] == value[i + size]:
+                    often[i] = often[i + 1] + 1
+
+
+def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = None) -> Iterator[tuple[int, float, str]]:
     """The parts that begin at i: end, log10 of guesses, kind."""
-    low = value.lower()
-    n = len(value)
+    runs = runs or Runs(value)
+    low, n = runs.low, len(value)
     for j in range(i + 1, min(n, i + config.max_brute) + 1):
         yield j, _brute(value[i:j]), "brute"
     for j in range(i + 2, min(n, i + _LONGEST_WORD) + 1):
@@ -74,30 +93,23 @@ def part_costs(value: str, i: int, config: SecretConfig) -> Iterator[tuple[int,
             yield j, math.log10(rank + 1) + (math.log10(2) if upper in (0, 1, j - i) and upper else upper * 0.5), "word"
     if (m := _DATE.match(value, i)) and m.end() > i:
         yield m.end(), math.log10(366 * 120 if m.end() - i > 4 else 120), "date"
-    j = i + 1
-    while j < n and low[j] == low[i]:
-        j += 1
-    if j - i >= 3:
-        yield j, math.log10(95 * (j - i)), "repeat"
-    for size in range(2, min(8, (n - i) // 2) + 1):  # a block again and again
-        end = i + size
-        while value.startswith(value[i : i + size], end):
-            end += size
-        if end >= i + 2 * size:
-            yield end, _brute(value[i : i + size]) + math.log10((end - i) / size), "repeat"
-    j = i + 1
-    while j < n and (low[j - 1], low[j]) in _STEPS:
-        j += 1
-    if j - i >= 3:
-        yield j, math.log10(len(_ROWS) * 2 * 20 * (j - i)), "walk"
+    if runs.same[i] >= 3:
+        yield i + runs.same[i], math.log10(95 * runs.same[i]), "repeat"
+    for size, often in runs.again.items():  # a block again and again
+        if often[i] >= size:
+            times = often[i] // size + 1
+            yield i + size * times, _brute(value[i : i + size]) + math.log10(times), "repeat"
+    if runs.walk[i] >= 3:
+        yield i + runs.walk[i], math.log10(len(_ROWS) * 2 * 20 * runs.walk[i]), "walk"
 
 
 @lru_cache(4096)
 def guess_cost(value: str, config: SecretConfig = SecretConfig()) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` takes."""
     best = [0.0] + [math.inf] * len(value)
+    runs = Runs(value)
     for i in range(len(value)):
-        for j, cost, _ in part_costs(value, i, config):
+        for j, cost, _ in part_costs(value, i, config, runs):
             best[j] = min(best[j], best[i] + cost + (config.part_cost if i else 0))
     return best[-1]
 
@@ -114,14 +126,14 @@ def base_spans(text: str, config: SecretConfig = SecretConfig()) -> list[tuple[i
 
 
 def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple[int, int, int, float]]:
-    """start, number of the kind, end, log10 guesses of the value (-1: no value); in order."""
+    """start, number of the kind, end, log10 guesses of the value; in order."""
     if not text:
         return []
     base = base_spans(text, config)
     out = []
     for start, kind, end in base:
         value = ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
-        out.append((start, kind, end, guess_cost(value[:4096], config) if len(value) <= 4096 else float(len(value))))
+        out.append((start, kind, end, guess_cost(value, config)))
     low = text.lower()
     if any(h in low for h in _HINTS):
         for m in CONTEXT.finditer(text):
@@ -129,7 +141,7 @@ def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple
             a, b = m.start(1), m.start(1) + len(value)
             if len(value) < config.min_value or any(s < b and a < e for s, _, e in base):
                 continue
-            cost = guess_cost(value, config) if len(value) <= 4096 else float(len(value))
+            cost = guess_cost(value, config)
             if cost >= config.min_log10_guesses:
                 out.append((a, 3, b, cost))
     return sorted(out)
