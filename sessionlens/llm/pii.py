@@ -7,9 +7,9 @@ and ``phone`` (10 to 15 digits), each matched leftmost and without overlaps; a m
 fails its test is dropped. The patterns are written with possessive loops and look-behinds,
 which match the same spans but take linear time and no stack on long runs.
 
-Bootstrapping: a candidate is a word with five digits or more; its pattern is its two words
-to the left, digits folded to 0. Candidates inside base spans are seeds. Over the graph of
-patterns and distinct candidates, patterns are scored by the mean score of their candidates
+Bootstrapping: base spans are the seeds, and a candidate is a word with five digits or more
+outside them. The pattern of either is its two words to the left, digits folded to 0. Over the
+graph of patterns and distinct seeds and candidates, patterns are scored by the mean score of their candidates
 and candidates by the best of their patterns, in turns; seeds keep the score 1. Candidates
 under a pattern of high confidence and with enough seeds become spans of the kind
 ``learned``.
@@ -85,14 +85,19 @@ def placed(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(pairs, acc, step, lambda a: a["out"])).otherwise(empty)
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the base kinds, ordered by start and then by kind as listed."""
+def base_marks(text: Column) -> Column:
+    """Matches of the base kinds, ordered by start and then by kind as listed: array of (start, no, end, match, before)."""
 
     def of(no: int, kind: str) -> Column:
         good = F.filter(placed(text, PATTERNS[kind]), lambda x: _valid(kind, x["match"]))
-        return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(no).alias("no"), (x["start"] + F.length(x["match"])).alias("end")))
+        return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(no).alias("no"), (x["start"] + F.length(x["match"])).alias("end"), x["match"].alias("match"), x["before"].alias("before")))
+
+    return F.array_sort(F.concat(*[of(k, kind) for k, kind in enumerate(BASE)]))
+
 
-    return _named(F.array_sort(F.concat(*[of(k, kind) for k, kind in enumerate(BASE)])), BASE)
+def base_spans(text: Column) -> Column:
+    """Spans of the base kinds, ordered by start and then by kind as listed."""
+    return _named(base_marks(text), BASE)
 
 
 def _named(spans: Column, kinds: tuple[str, ...]) -> Column:
@@ -100,28 +105,31 @@ def _named(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.transform(spans, lambda x: F.struct(F.element_at(names, x["no"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """Words with many digits: array of (pattern, instance, start, end, seed)."""
+def _pattern(before: Column, first: Column) -> Column:
+    """The last two words before an instance; another instance of its kind counts as <id>."""
+    near = F.when(first, before).otherwise(F.concat(F.lit("<id>"), before))
+    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_extract(F.substring(near, -200, 200), r"(?:\S+\s+)?\S+\s*$", 0), r"[0-9]", "0"), r"\s+", " "))
+
+
+def candidates(text: Column, marks: Column) -> Column:
+    """Seeds (base spans), and words with many digits outside them: array of (pattern, instance, start, end, seed)."""
 
     def of(x: Column, i: Column) -> Column:
         word = F.regexp_replace(x["match"], r"^[^\p{L}\p{N}+(]+|[^\p{L}\p{N})]+$", "")
-        lead = F.length(F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+(]+", 0))
-        start = x["start"] + lead
-        end = start + F.length(word)
-        before = F.when(i > 0, F.concat(F.lit("<id>"), x["before"])).otherwise(x["before"])
-        context = F.lower(F.regexp_replace(F.regexp_replace(F.regexp_extract(F.substring(before, -200, 200), r"(?:\S+\s+)?\S+\s*$", 0), r"[0-9]", "0"), r"\s+", " "))
-        seed = F.exists(base, lambda b: (b["start"] < end) & (start < b["end"]))
-        return F.struct(context.alias("pattern"), word.alias("instance"), start.alias("start"), end.alias("end"), seed.alias("seed"))
+        start = x["start"] + F.length(F.regexp_extract(x["match"], r"^[^\p{L}\p{N}+(]+", 0))
+        return F.struct(_pattern(x["before"], i == 0).alias("pattern"), word.alias("instance"), start.alias("start"), (start + F.length(word)).alias("end"), F.lit(False).alias("seed"))
 
-    return F.transform(placed(text, CANDIDATE), of)
+    seeds = F.transform(marks, lambda m: F.struct(_pattern(m["before"], m["start"] == F.length(m["before"])).alias("pattern"), m["match"].alias("instance"), m["start"].alias("start"), m["end"].alias("end"), F.lit(True).alias("seed")))
+    words = F.filter(F.transform(placed(text, CANDIDATE), of), lambda x: ~F.exists(marks, lambda m: (m["start"] < x["end"]) & (x["start"] < m["end"])))
+    return F.concat(seeds, words)
 
 
 def _first_pass(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns, base spans, candidates and, for texts with candidates, a key of the text."""
+    """``keep`` columns, base spans, seeds and candidates, and, for texts that have some, a key of the text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    has = docs.select(*keep, text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    has = has.withColumn("found", candidates(F.col("text"), F.col("base")))
-    return has.select(*keep, "base", "found", F.when(F.size("found") > 0, F.sha2("text", 256)).alias("key"))
+    has = docs.select(*keep, text.alias("text")).withColumn("marks", base_marks(F.col("text")))
+    has = has.withColumn("found", candidates(F.col("text"), F.col("marks")))
+    return has.select(*keep, _named(F.col("marks"), BASE).alias("base"), "found", F.when(F.size("found") > 0, F.sha2("text", 256)).alias("key"))
 
 
 def learned_patterns(first: DataFrame, config: PiiConfig = PiiConfig()) -> tuple[DataFrame, DataFrame]:
