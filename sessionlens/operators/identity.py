@@ -87,7 +87,7 @@ def evidence_of(found: DataFrame, names: DataFrame, turns: DataFrame, config: Id
     """Evidence rows: source and target turns and speakers, person, weight, and whether it counts for a majority."""
     source = turns.select("session_id", "turn_id", F.col("speaker_id").alias("source_speaker_id"))
     target = turns.select("session_id", F.col("turn_id").alias("predicted_turn_id"), F.col("speaker_id").alias("target_speaker_id"))
-    rows = found.join(source, ["session_id", "turn_id"]).join(target, ["session_id", "predicted_turn_id"]).join(names.withColumnRenamed("name", "word"), "word")
+    rows = found.join(source, ["session_id", "turn_id"]).join(target, ["session_id", "predicted_turn_id"]).join(names.drop("role").withColumnRenamed("name", "word"), "word")
     chair = contains_any(F.col("text"))
     call = F.col("role") == "probable_next_speaker"
     return rows.select(

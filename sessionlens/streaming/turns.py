@@ -21,9 +21,9 @@ _STATE = "speaker_id string, start_seconds double, end_seconds double, segments
 
 
 def arriving(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
-    """JSON segments of a folder as they arrive; ``ts`` is their start as a timestamp."""
+    """JSON segments of a folder as they arrive; ``ts`` is a millisecond after their start, as a first watermark of 0 drops what is not later."""
     rows = spark.readStream.schema(SEGMENT).option("maxFilesPerTrigger", files_per_trigger).json(folder)
-    return rows.withColumn("ts", F.timestamp_millis((F.col("start_seconds") * 1000).cast("long")))
+    return rows.withColumn("ts", F.timestamp_millis((F.col("start_seconds") * 1000).cast("long") + 1))
 
 
 def closing_turns(segments: DataFrame, max_silence: float = 5.0, lateness: str = "10 minutes") -> DataFrame:
@@ -47,7 +47,7 @@ def closing_turns(segments: DataFrame, max_silence: float = 5.0, lateness: str =
             else:
                 turn = [turn[0], min(turn[1], x.start_seconds), max(turn[2], x.end_seconds), turn[3] + 1, f"{turn[4]} {x.text or ''}".strip()]
         state.update(tuple(turn))
-        state.setTimeoutTimestamp(max(int((turn[2] + max_silence) * 1000), state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(int((turn[2] + max_silence) * 1000) + 1, state.getCurrentWatermarkMs() + 1))
         if closed:
             yield pd.DataFrame(closed, columns=["session_id", "speaker_id", "start_seconds", "end_seconds", "segments", "text"])
 
