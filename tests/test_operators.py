@@ -1,5 +1,8 @@
 """Literal cases and small models of the session operators."""
 
+import struct
+
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -241,3 +244,18 @@ def test_frames_and_flow(spark):
     assert [r["group_id"] for r in legacy.grouped_by_flow(rows).orderBy("segment_id").collect()] == [1, 2, 3, 4]
     values = spark.createDataFrame([(0.0,), (1.0,)], "x double")
     assert [round(r["density"], 4) for r in legacy.density(values, "x", [0.0, 0.5, 1.0], 1.0).orderBy("point").collect()] == [0.3205, 0.3521, 0.3205]
+
+
+def test_vectors_as_bytes_and_axes(spark):
+    from sessionlens.functions import vectors
+
+    df = spark.createDataFrame([(1, [1.0, 2.0, 0.5]), (2, None), (3, [])], "id long, v array<float>")
+    got = {r["id"]: (r["b"], r["back"]) for r in df.withColumn("b", vectors.to_bytes("v")).withColumn("back", vectors.from_bytes(F.col("b"))).collect()}
+    assert got[1] == (bytearray(struct.pack("<3f", 1, 2, 0.5)), [1.0, 2.0, 0.5]) and got[2] == (None, None) and got[3] == (bytearray(), [])
+    assert spark.createDataFrame([(bytearray(b"abc"),)], "b binary").select(vectors.from_bytes("b")).first()[0] is None
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 4)) * [5, 2, 0.1, 0.1] + [3, 1, 0, 0]
+    rows = vectors.principal_components(spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, v array<double>"), "v").orderBy("id").collect()
+    found = np.array([r["components"] for r in rows])
+    _, _, axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    assert np.allclose(np.abs(found), np.abs((x - x.mean(axis=0)) @ axes[:2].T), atol=1e-6)
