@@ -54,6 +54,13 @@ def french_words_normalized(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.regexp_replace(text.without_accents(F.lower("text")), r"\s+", " ").alias("normalized"))
 
 
+@query("french_texts_normalized")
+def french_texts_normalized(spark: SparkSession, d: str) -> DataFrame:
+    """The whole texts, which french_words_normalized reads up to the first full stop."""
+    rows = table(spark, d, "documents").filter("lang = 'fr'")
+    return rows.select("doc_id", F.regexp_replace(text.without_accents(F.lower("text")), r"\s+", " ").alias("normalized"))
+
+
 _MONTHS = "['" + "','".join(text.MONTHS) + "']"
 _FR = f"regexp_extract(stem, '-(\\d{{1,2}})-([a-zéû]+)-(\\d{{4}})$', %d)"
 
@@ -149,6 +156,13 @@ def token_normal_forms(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", text.token_norm(F.split_part("text", F.lit(" "), F.lit(1))).alias("token"))
 
 
+@query("turn_tokens_normalized")
+def turn_tokens_normalized(spark: SparkSession, d: str) -> DataFrame:
+    """Every token of every turn with its place from 0; token_normal_forms has the first alone."""
+    tokens = F.regexp_extract_all("text", F.lit(r"(?U)\S+"), F.lit(0))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(tokens).alias("position", "token")).withColumn("token", text.token_norm(F.col("token")))
+
+
 @query("cer_names", "SELECT c_custkey, levenshtein(c_name, s_name) AS distance, round(levenshtein(c_name, s_name) / length(s_name), 6) AS cer FROM customer JOIN supplier ON c_custkey = s_suppkey")
 def cer_names(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").join(table(spark, d, "supplier"), F.col("c_custkey") == F.col("s_suppkey"))
