@@ -8,6 +8,7 @@ and read again as the next stage's ``docs``. All but the last return the columns
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlens.llm import near_dedup, pii, quality_rules, sentencepiece_scan, source_mixing
 from sessionlens.llm.shared import stored, table
@@ -19,9 +20,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates (five-word shingles, similarity of 0.8)."""
-    kept = near_dedup.classes(docs).filter("kept or component_id is null").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """Keep one document of each group of near-duplicates (five-word shingles, similarity of 0.8).
+
+    A row is judged by its node: its doc_id, or, where that is null or stands for a smaller
+    text too, a number beyond all ids (62 bits of a hash of id and text). So rows without an
+    id and different texts under one id are documents like others, and of exact repeats of
+    id and text one row stays.
+    """
+    key = F.xxhash64("text")
+    repeated = stored(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(key).alias("low")).filter("n > 1").select("doc_id", "low"), "near-repeated-ids")
+    low = docs.filter("doc_id is not null").join(repeated, "doc_id", "left")
+    rows = low.unionByName(docs.filter("doc_id is null").withColumn("low", F.lit(None).cast("long")))
+    fresh = F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    own = F.col("doc_id").isNotNull() & (F.col("low").isNull() | (F.col("low") == key))
+    rows = rows.withColumn("node", F.when(own, F.col("doc_id")).otherwise(fresh))
+    kept = near_dedup.classes(rows.select("node", "text"), id_col="node").filter("kept").select("node")
+    rows = rows.join(kept.distinct(), "node", "left_semi")
+    once = rows.filter("low is null and doc_id is not null")
+    several = rows.filter("low is not null or doc_id is null").dropDuplicates(["node"])
+    return once.unionByName(several).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

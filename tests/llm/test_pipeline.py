@@ -93,3 +93,14 @@ def test_nulls_in_every_column(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, None, "en", "s", 0), (2, "", None, None, None)], table(spark, SF, "documents").schema)
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, SF).collect()
+
+
+def test_duplicate_stage_keeps_null_and_repeated_ids(spark):
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(60)) for w in ("north", "south", "east", "west", "tide"))
+    given = [(None, a), (None, b), (None, b), (None, c), (1, c), (2, d), (2, d), (2, e), (3, e), (4, ""), (4, ""), (None, None), (5, d + " more"), (None, a + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in given], table(spark, SF, "documents").schema)
+    out = [(r["doc_id"], r["text"]) for r in STAGES["near-duplicates"](spark, docs, SF).collect()]
+    texts = Counter(t for _, t in out)
+    assert texts[b] == texts[c] == texts[d] == texts[e] == 1 and texts[a] + texts[a + " more"] == 1  # one of each group
+    assert (1, c) in out and (4, "") in out and texts[""] == 1 and (None, b) in out and (None, None) in out
+    assert len(out) == 7 and d + " more" not in texts
