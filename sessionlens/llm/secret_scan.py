@@ -5,10 +5,10 @@ Base kinds: ``assign`` (a credential word, ``:`` or ``=``, a value of 6+ charact
 matched leftmost and without overlaps, and a match that fails its length is dropped.
 
 The kind ``guess`` adds values that stand after further credential words ("pwd", "bearer",
-"passphrase is" ...). Such a value counts only if it would take many guesses: a dynamic
+"passphrase is" ...) and compounds with them or with "key" ("SECRET_KEY", "signing-key"). Such a value counts only if it would take many guesses: a dynamic
 programme finds the cheapest way to split it into common words, dates, repeats, sequences,
 keyboard walks and brute-force spans, where a part's cost is the log10 of its guesses. Values
-inside a base span are not reported twice.
+that one base span contains whole are not reported twice; those that reach beyond it are.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts have no
 spans; repeated rows give repeated results; an empty table gives an empty result; columns
@@ -35,7 +35,9 @@ ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 _CONTEXT_WORDS = ("passphrase", "passcode", "pwd", "pass", "password", "passwd", "secret", "token", "credential", "credentials", "bearer", "private_key", "access_key", "auth_key", "api_key", "apikey", "client_key", "login_key")
-CONTEXT = re.compile(rf"""(?<![A-Za-z0-9])(?:{"|".join(_ANY(w) for w in sorted(_CONTEXT_WORDS, key=len, reverse=True))})["']?(?:\x20*[:=]\x20*|\x20+(?:is|was)\x20+|\x20+(?=[A-Za-z0-9+/_.=-]*[0-9]))["']?([^\s"'<>,;]+)""")
+_WORD = "|".join(_ANY(w) for w in sorted(_CONTEXT_WORDS, key=len, reverse=True))
+#: Credential words, also as parts of compounds ("db_password", "secret_value"), and ``key`` as the last part of one ("signing-key", "signingKey").
+CONTEXT = re.compile(rf"""(?:(?:(?<![A-Za-z0-9])(?:{_WORD})|(?:(?<=[A-Za-z0-9][_-]){_ANY("key")}|(?<=[a-z])Key)[sS]?)["']?(?:\x20*[:=]\x20*|\x20+(?:is|was)\x20+|\x20+(?=[A-Za-z0-9+/_.=-]*[0-9]))|(?<![A-Za-z0-9])(?:{_WORD})(?:[_-][A-Za-z0-9]++){{1,3}}["']?\x20*[:=]\x20*)["']?([^\s"'<>,;]+)""")
 _HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "key")
 #: Common words by rank; the rank is the number of guesses.
 WORDS = {w: i + 1 for i, w in enumerate("password the qwerty admin welcome letmein monkey dragon master login hello love secret test user root guest changeme shadow sun moon star summer winter spring autumn baseball football soccer hockey access flower princess angel tiger lion eagle happy money freedom whatever cookie orange purple yellow green blue red black white silver gold computer internet server database token key api example sample demo temp default system public private company office house home family friend mother father brother sister michael jennifer thomas daniel jessica robert william charlie batman superman pokemon starwars is my your our and for with from this that one two three four five six seven eight nine ten".split())}
@@ -139,7 +141,7 @@ def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple
         for m in CONTEXT.finditer(text):
             value = m[1].rstrip(".!?)|")
             a, b = m.start(1), m.start(1) + len(value)
-            if len(value) < config.min_value or any(s < b and a < e for s, _, e in base):
+            if len(value) < config.min_value or any(s <= a and b <= e for s, _, e in base):
                 continue
             cost = guess_cost(value, config)
             if cost >= config.min_log10_guesses:

@@ -60,6 +60,19 @@ def test_contexts_add_values():
     assert secret_scan.spans(text) == []  # a long repeat is as cheap as a short one
 
 
+def test_values_beyond_base_spans_and_compound_names():
+    guesses = lambda text: [text[s:e] for s, k, e, _ in secret_scan.spans(text) if k == 3]
+    assert guesses("password: Xk9mQ2v!7$zzLq#1") == ["Xk9mQ2v!7$zzLq#1"]
+    assert guesses("token=0123456789abcdef01234567") == []  # whole in a base span
+    assert guesses("pwd: $0123456789abcdef01234567#Zk9") == ["$0123456789abcdef01234567#Zk9"]
+    assert guesses("SECRET_KEY = 'k7$zQ9vLm2#xT4wR'") == ["k7$zQ9vLm2#xT4wR"]
+    for name in ("signing_key", "encryption-key", "signingKey", "db_password", "secret_value", "app_secret_key"):
+        assert any("Zk93vQx1LmT8" in x for x in guesses(f"{name}=#Zk93vQx1LmT8")), name
+    assert guesses("signing_key=Zk93vQx1LmT8") == ["Zk93vQx1LmT8"]
+    assert guesses("the monkey: Zk93vQx1LmT8 and turkey=Zk93vQx1LmT8") == []
+    assert secret_scan.spans("token_" * 20_000 + "z" * 20_000) == []
+
+
 def test_secret_query(spark):
     rows = queries.op5_secret_scan(spark, SF).collect()
     given = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
