@@ -7,7 +7,9 @@ matched leftmost and without overlaps, and a match that fails its length is drop
 The kind ``guess`` adds values that stand after further credential words ("pwd", "bearer",
 "passphrase is" ...) and compounds with them or with "key" ("SECRET_KEY", "signing-key"). Such a value counts only if it would take many guesses: a dynamic
 programme finds the cheapest way to split it into common words, dates, repeats, sequences,
-keyboard walks and brute-force spans, where a part's cost is the log10 of its guesses. Values
+keyboard walks and brute-force spans, where a part's cost is the log10 of its guesses. A
+word's guesses are its rank: by the number of texts of the corpus that hold it (five at
+least, the 100 000 most frequent words), or in a short list of what passwords are made of. Values
 that one base span contains whole are not reported twice; those that reach beyond it are.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts have no
@@ -28,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 KINDS = ("assign", "access", "hex", "guess")
 _ANY = lambda s: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in s)
 _NAMES = "|".join([*map(_ANY, ("password", "passwd", "secret", "token")), f"{_ANY('api')}_?{_ANY('key')}"])
@@ -39,13 +43,25 @@ _WORD = "|".join(_ANY(w) for w in sorted(_CONTEXT_WORDS, key=len, reverse=True))
 #: Credential words, also as parts of compounds ("db_password", "secret_value"), and ``key`` as the last part of one ("signing-key", "signingKey").
 CONTEXT = re.compile(rf"""(?:(?:(?<![A-Za-z0-9])(?:{_WORD})|(?:(?<=[A-Za-z0-9][_-]){_ANY("key")}|(?<=[a-z])Key)[sS]?)["']?(?:\x20*[:=]\x20*|\x20+(?:is|was)\x20+|\x20+(?=[A-Za-z0-9+/_.=-]*[0-9]))|(?<![A-Za-z0-9])(?:{_WORD})(?:[_-][A-Za-z0-9]++){{1,3}}["']?\x20*[:=]\x20*)["']?([^\s"'<>,;]+)""")
 _HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "key")
-#: Common words by rank; the rank is the number of guesses.
-WORDS = {w: i + 1 for i, w in enumerate("password the qwerty admin welcome letmein monkey dragon master login hello love secret test user root guest changeme shadow sun moon star summer winter spring autumn baseball football soccer hockey access flower princess angel tiger lion eagle happy money freedom whatever cookie orange purple yellow green blue red black white silver gold computer internet server database token key api example sample demo temp default system public private company office house home family friend mother father brother sister michael jennifer thomas daniel jessica robert william charlie batman superman pokemon starwars is my your our and for with from this that one two three four five six seven eight nine ten".split())}
+class Ranks(dict):
+    """Words by rank; the rank is the number of guesses. Hashed by identity, for guess_cost."""
+
+    __hash__ = object.__hash__
+    __eq__ = object.__eq__
+
+    def __init__(self, words: dict[str, int]):
+        super().__init__(words)
+        self.longest = max(map(len, self), default=0)
+
+
+#: Words that passwords are made of; word_ranks adds those of the corpus.
+WORDS = Ranks({w: i + 1 for i, w in enumerate("password the qwerty admin welcome letmein monkey dragon master login hello love secret test user root guest changeme shadow sun moon star summer winter spring autumn baseball football soccer hockey access flower princess angel tiger lion eagle happy money freedom whatever cookie orange purple yellow green blue red black white silver gold computer internet server database token key api example sample demo temp default system public private company office house home family friend mother father brother sister michael jennifer thomas daniel jessica robert william charlie batman superman pokemon starwars is my your our and for with from this that one two three four five six seven eight nine ten".split())})
 _ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "qwertzuiop", "azertyuiop", "abcdefghijklmnopqrstuvwxyz")
 _STEPS = {p for r in _ROWS for x in (r, r[::-1]) for p in zip(x, x[1:], strict=False)}
 _LEET = str.maketrans("01345@$!7", "oieasasit")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d")
-_LONGEST_WORD = max(map(len, WORDS))
+#: Words of the corpus; what stands next to digits is none.
+_CORPUS_WORD = r"(?<![\p{L}\p{N}])\p{L}{3,24}+(?![\p{L}\p{N}])"
 
 
 @dataclass(frozen=True)
@@ -55,6 +71,8 @@ class SecretConfig:
     min_log10_guesses: float = 9.0
     part_cost: float = 0.7  # log10 of the guesses for how parts are combined
     max_brute: int = 12  # longest single brute-force span; longer ones are several
+    min_docs: int = 5  # texts that a word of the corpus stands in
+    max_words: int = 100_000  # most frequent words of the corpus; they are sent to every executor
 
 
 def _brute(part: str) -> float:
@@ -81,15 +99,15 @@ class Runs:
                     often[i] = often[i + 1] + 1
 
 
-def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = None) -> Iterator[tuple[int, float, str]]:
+def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = None, words: Ranks = WORDS) -> Iterator[tuple[int, float, str]]:
     """The parts that begin at i: end, log10 of guesses, kind."""
     runs = runs or Runs(value)
     low, n = runs.low, len(value)
     for j in range(i + 1, min(n, i + config.max_brute) + 1):
         yield j, _brute(value[i:j]), "brute"
-    for j in range(i + 2, min(n, i + _LONGEST_WORD) + 1):
+    for j in range(i + 2, min(n, i + words.longest) + 1):
         plain = low[i:j]
-        rank = WORDS.get(plain) or 2 * WORDS.get(plain.translate(_LEET), 0)
+        rank = words.get(plain) or 2 * words.get(plain.translate(_LEET), 0)
         if rank:
             upper = sum(c.isupper() for c in value[i:j])
             yield j, math.log10(rank + 1) + (math.log10(2) if upper in (0, 1, j - i) and upper else upper * 0.5), "word"
@@ -106,12 +124,12 @@ def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = Non
 
 
 @lru_cache(4096)
-def guess_cost(value: str, config: SecretConfig = SecretConfig()) -> float:
+def guess_cost(value: str, config: SecretConfig = SecretConfig(), words: Ranks = WORDS) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` takes."""
     best = [0.0] + [math.inf] * len(value)
     runs = Runs(value)
     for i in range(len(value)):
-        for j, cost, _ in part_costs(value, i, config, runs):
+        for j, cost, _ in part_costs(value, i, config, runs, words):
             best[j] = min(best[j], best[i] + cost + (config.part_cost if i else 0))
     return best[-1]
 
@@ -127,7 +145,7 @@ def base_spans(text: str, config: SecretConfig = SecretConfig()) -> list[tuple[i
     return sorted(out)
 
 
-def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple[int, int, int, float]]:
+def spans(text: str | None, config: SecretConfig = SecretConfig(), words: Ranks = WORDS) -> list[tuple[int, int, int, float]]:
     """start, number of the kind, end, log10 guesses of the value; in order."""
     if not text:
         return []
@@ -135,7 +153,7 @@ def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple
     out = []
     for start, kind, end in base:
         value = ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
-        out.append((start, kind, end, guess_cost(value, config)))
+        out.append((start, kind, end, guess_cost(value, config, words)))
     low = text.lower()
     if any(h in low for h in _HINTS):
         for m in CONTEXT.finditer(text):
@@ -143,19 +161,37 @@ def spans(text: str | None, config: SecretConfig = SecretConfig()) -> list[tuple
             a, b = m.start(1), m.start(1) + len(value)
             if len(value) < config.min_value or any(s <= a and b <= e for s, _, e in base):
                 continue
-            cost = guess_cost(value, config)
+            cost = guess_cost(value, config, words)
             if cost >= config.min_log10_guesses:
                 out.append((a, 3, b, cost))
     return sorted(out)
 
 
+def word_ranks(docs: DataFrame, text_col: str = "text", config: SecretConfig = SecretConfig()) -> Ranks:
+    """The words of the corpus by the number of texts that hold them outside credential contexts, and WORDS."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    outside = F.when(text.rlike(f"(?i){'|'.join(_HINTS)}"), F.regexp_replace(text, CONTEXT.pattern, " ")).otherwise(text)
+    each = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(_CORPUS_WORD), F.lit(0)))).alias("word"))
+    often = stored(each.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= config.min_docs), "secret-words")
+    least, room = None, config.max_words
+    for n, words in sorted(map(tuple, often.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True):  # a row a count
+        if (room := room - words) < 0:
+            break
+        least = n
+    rows = often.filter(F.col("n") >= least).collect() if least is not None else []  # max_words at most; words of one count go together
+    ranks = {r["word"]: k + 1 for k, r in enumerate(sorted(rows, key=lambda r: (-r["n"], r["word"])))}
+    return Ranks(ranks | {w: min(k, ranks.get(w, k)) for w, k in WORDS.items()})
+
+
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: SecretConfig = SecretConfig()) -> DataFrame:
     """Per row: id and ``found``, an array of (kind, start, end, log10_guesses)."""
+    shared = docs.sparkSession.sparkContext.broadcast(dict(word_ranks(docs, text_col, config)))  # max_words, whatever the corpus
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("log10_guesses", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Ranks(shared.value)
         for batch in batches:
-            found = [[{"kind": KINDS[k], "start": s, "end": e, "log10_guesses": c} for s, k, e, c in spans(t.as_py(), config)] for t in batch.column(1)]
+            found = [[{"kind": KINDS[k], "start": s, "end": e, "log10_guesses": c} for s, k, e, c in spans(t.as_py(), config, words)] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(item))], names=[id_col, "found"])
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, found array<struct<kind: string, start: long, end: long, log10_guesses: double>>"

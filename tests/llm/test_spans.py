@@ -73,6 +73,17 @@ def test_values_beyond_base_spans_and_compound_names():
     assert secret_scan.spans("token_" * 20_000 + "z" * 20_000) == []
 
 
+def test_prose_is_no_secret(spark):
+    prose = ["The secret is everything to us", "le token est important, the password was wunderbarerweise lost", "a credential is imprescindible here"]
+    usual = [f"everything und wunderbarerweise, {w} imprescindible" for w in ("one", "two", "three", "four", "five")]
+    secret = ["passphrase is qmzvkwyhtrxb"] * 9  # copies don't make it a word
+    df = spark.createDataFrame(list(enumerate(prose + usual + secret)), "doc_id long, text string")
+    found = {r["doc_id"]: [x["kind"] for x in r["found"]] for r in secret_scan.scanned(df).collect()}
+    assert [found[k] for k in range(3)] == [[], [], []]
+    assert all(found[k] == ["guess"] for k in range(8, 17))
+    assert [k for _, k, _, _ in secret_scan.spans(prose[0])] == [3]  # by the short list alone
+
+
 def test_secret_query(spark):
     rows = queries.op5_secret_scan(spark, SF).collect()
     given = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
