@@ -2,7 +2,8 @@
 
 Pages are parsed into elements. Every element has a hash of its subtree (names, attributes
 and texts); Spark counts on how many pages of a host each subtree stands, and subtrees that
-recur on many pages of their host are templates and are deleted. What remains is searched
+recur on many pages of their host (10, and a fifth of the host or 50) are templates and are
+deleted. Pages of equal main text are copies and count once. What remains is searched
 for the main part: ``article`` or ``main`` elements if there are some, else the body; and
 inside it, elements that are menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles or reader comments, by name, role or class, are left out.
@@ -11,11 +12,11 @@ The text of a block is what stands between block boundaries: character reference
 white space folded to one space and trimmed. Blocks are joined by a line feed in page order.
 
 Defined results: a null or empty page has the empty text; a url without a host belongs to
-the host ''; repeated rows count once a row for templates and get equal texts; an empty
+the host ''; repeated rows count once for templates and get equal texts; an empty
 table gives an empty result; columns besides id, url and html are not read.
 
-Only hosts and hashes of recurring subtrees are joined to the pages. Subtrees of one page are
-counted once; each host and subtree is reduced to a sum before the shuffle.
+Only hosts and hashes of recurring subtrees are joined to the pages. Subtrees of one page
+are counted once; each host, subtree and page hash goes through the shuffle as three numbers.
 """
 
 from __future__ import annotations
@@ -40,9 +41,12 @@ _CLOSES_P = BLOCKS - {"br", "html", "body"}
 #: An open element of the first kind ends where one of the second begins.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 _SCOPE = frozenset("article section div body html td th li table ul ol main aside nav header footer form blockquote dl".split())
-#: Elements that templates are made of. Paragraphs, headings and inline elements are not
-#: deleted on their own, so that articles that stand on a host many times stay whole.
+#: Elements that templates are made of. Headings and other inline elements are not deleted
+#: on their own, as words recur in prose.
 TEMPLATE_NAMES = frozenset("div section ul ol dl table nav aside header footer form figure details iframe center fieldset menu".split())
+#: These too, if they hold MIN_WORDS words.
+WORDED_NAMES = frozenset("p span li dd blockquote address".split())
+MIN_WORDS = 4
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?|promo(?:tion)?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|gdpr|notice|newsletter|subscribe|signup|popup|modal|overlay|share|sharing|social|related|recommend(?:ed|ations)?|comments?|respond|replies|disqus|widget|toolbar|pagination|pager|skip-link|login|search)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -53,14 +57,15 @@ _SPACE = re.compile(r"\s+")
 @dataclass(frozen=True)
 class HtmlConfig:
     min_pages: int = 10  # pages of the host that hold the subtree
-    min_share: float = 0.2  # and their share of the host's pages
+    min_share: float = 0.2  # and their share of the host's pages,
+    most_pages: int = 50  # though so many pages are enough on any host
 
 
 class Node:
-    __slots__ = ("name", "attrs", "items", "hash")
+    __slots__ = ("name", "attrs", "items", "hash", "words")
 
     def __init__(self, name: str, attrs: str = ""):
-        self.name, self.attrs, self.items, self.hash = name, attrs, [], 0
+        self.name, self.attrs, self.items, self.hash, self.words = name, attrs, [], 0, 0
 
 
 def parse(page: str | None) -> Node:
@@ -111,7 +116,7 @@ def _close(stack: list[Node], name: str) -> None:
 
 
 def hashed(root: Node) -> list[Node]:
-    """Give every element the hash of its subtree; all elements, children first."""
+    """Give every element the hash of its subtree and its number of words; all elements, children first."""
     out: list[Node] = []
     work = [(root, False)]
     while work:
@@ -124,6 +129,7 @@ def hashed(root: Node) -> list[Node]:
         for x in node.items:
             h.update(x.hash.to_bytes(8, "little") if isinstance(x, Node) else _SPACE.sub(" ", x).strip().encode("utf-8", "replace"))
         node.hash = h.intdigest()
+        node.words = sum(x.words if isinstance(x, Node) else len(x.split()) for x in node.items)
         out.append(node)
     return out
 
@@ -152,8 +158,18 @@ def _text_of(node: Node) -> str:
 
 def templates_of(page: str | None, config: HtmlConfig = HtmlConfig()) -> set[int]:
     """Hashes of the subtrees of a page that may be templates."""
+    return _templates(parse(page))
+
+
+def _templates(root: Node) -> set[int]:
+    return {signed(n.hash) for n in hashed(root) if n.items and (n.name in TEMPLATE_NAMES or n.name in WORDED_NAMES and n.words >= MIN_WORDS)}
+
+
+def evidence(page: str | None) -> tuple[int, set[int]]:
+    """A hash that copies of one page share (of the main text, or of the page if there is none), and templates_of."""
     root = parse(page)
-    return {signed(n.hash) for n in hashed(root) if n.name in TEMPLATE_NAMES and n.items}
+    text = _extract(root, frozenset()) or page or ""
+    return signed(xxhash.xxh64(text.encode("utf-8", "replace")).intdigest()), _templates(root)
 
 
 def main_parts(root: Node) -> list[Node]:
@@ -174,6 +190,10 @@ def extract(page: str | None, drop: frozenset[int] | set[int] = frozenset()) ->
     root = parse(page)
     if drop:
         hashed(root)
+    return _extract(root, drop)
+
+
+def _extract(root: Node, drop: frozenset[int] | set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -215,13 +235,15 @@ def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[0, *templates_of(x.as_py(), config)] for x in batch.column(1)]  # 0 counts the page
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["host", "hashes"])
+            found = [evidence(x.as_py()) for x in batch.column(1)]
+            hashes = pa.array([[0, *h] for _, h in found], pa.list_(pa.int64()))  # 0 counts the page
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in found], pa.int64()), hashes], names=["host", "page", "hashes"])
 
-    seen = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string")).mapInArrow(run, "host string, hashes array<long>")
-    counts = stored(seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-subtrees")
+    seen = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string")).mapInArrow(run, "host string, page long, hashes array<long>")
+    each = seen.select("host", "page", F.explode("hashes").alias("hash")).distinct()
+    counts = stored(each.groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-subtrees")
     total = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    many = counts.filter("hash <> 0").join(total, "host").filter(F.col("n") >= F.col("pages") * config.min_share)
+    many = counts.filter("hash <> 0").join(total, "host").filter(F.col("n") >= F.least(F.col("pages") * config.min_share, F.lit(config.most_pages)))
     return many.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))
 
 

@@ -49,6 +49,18 @@ def test_recurring_subtrees_are_deleted_by_host(spark):
     assert html_extract.extracted(df.limit(0)).collect() == []
 
 
+def test_templates_by_distinct_pages(spark):
+    notice, menu = "<p>Please read our house rules first</p>", "<ul><li>one thing</li><li>another</li></ul>"
+    rows = [(i, f"http://hot.example/{i}", page(f"<article><p>text {i}</p>{notice if i < 55 else ''}</article>")) for i in range(300)]
+    rows += [(1000 + i, f"http://c.example/{i}", page(f"<nav>{i}</nav><article><p>a story</p>{menu}</article>")) for i in range(12)]
+    rows += [(2000 + i, f"http://d.example/{i}", page(f"<article><p>text {i} is <b>very</b> good</p></article>")) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in html_extract.extracted(df).collect()}
+    assert text[3] == "text 3" and text[299] == "text 299"  # on 55 of 300 pages
+    assert all(text[1000 + i] == "a story\none thing\nanother" for i in range(12))  # copies of one article
+    assert text[2001] == "text 1 is very good"
+
+
 def test_query_equals_plain(spark):
     pages = table(spark, SF, "pages").collect()
     config = html_extract.HtmlConfig()
