@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sessionlens.llm import quality_classifier, quality_rules, queries
+from sessionlens.llm import quality_classifier, quality_rules, queries, words
 from sessionlens.llm.shared import table
 
 from . import plain
@@ -120,5 +120,46 @@ def test_gradient_training_learns():
     texts = [" ".join(rng.choices(("fine", "prose", "here"), k=20)) if i % 2 else " ".join(rng.choices(("spam", "buy", "now"), k=20)) for i in range(200)]
     labels = np.arange(200) % 2
     config = quality_classifier.ClassifierConfig(buckets=1 << 12)
-    model = quality_classifier.train(texts, labels, config)
+    model = quality_classifier.train([quality_classifier.bag(t) for t in quality_classifier.tokens(texts, config)], labels, config)
     assert np.array_equal(quality_classifier.scores(texts, model, config) > 0.5, labels == 1)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_scores_equal_plain(seed):
+    """The sum over words, pairs and character n-grams, token by token."""
+    config = quality_classifier.ClassifierConfig(buckets=1 << 10)
+    rng = np.random.default_rng(seed)
+    model = quality_classifier.Model(rng.normal(size=config.buckets * (2 + len(config.grams))).astype(np.float32), 0.25)
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    def word(w):
+        total = sum(int(words._CODE[b]) * pow(words._BYTE_BASE, k, 1 << 64) for k, b in enumerate(w.encode()))
+        return mixed((total + len(w.encode())) & mask)
+
+    texts = made(seed, 40)
+    for text, score in zip(texts, quality_classifier.scores(texts, model, config), strict=True):
+        hashes = [word(w) for w in plain.words(text)]
+        numbers = [h % config.buckets for h in hashes]
+        numbers += [config.buckets + (0 if a == b else mixed((3 * a + b) & mask) % config.buckets) for a, b in zip(hashes, hashes[1:], strict=False)]
+        for k, n in enumerate(config.grams):
+            for i in range(len(text or "") - n + 1):
+                code = 0
+                for c in text[i : i + n]:
+                    code = (code * 0x10FFFF + ord(c)) & mask
+                numbers.append(config.buckets * (2 + k) + mixed(code) % config.buckets)
+        z = (sum(float(model.weights[x]) for x in numbers) / len(numbers) if numbers else 0.0) + model.bias
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-6, text
+
+
+def test_no_text_is_left_out_of_fitting_by_its_length(spark):
+    long, short = "rare " * 60_000, "plain words here"
+    docs = spark.createDataFrame([(i, long if i % 2 else short) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality_classifier.fitted(docs, labels, config=quality_classifier.ClassifierConfig(max_train=30))
+    low, high = quality_classifier.scores([short, long], model)
+    assert low < 0.5 < high
