@@ -16,7 +16,8 @@ for each block of queries.
 Defined results: vectors that are null or empty, or hold null or non-finite components, take no
 part, neither as queries nor as candidates; vectors of unequal length are compared only with
 their own length; ties go to the smaller id; a query never meets rows of its own id; repeated
-rows are candidates one by one; an empty table gives an empty result.
+rows are candidates one by one, and of queries that share an id the one with the least vector
+counts; an empty table gives an empty result. Scores are exact while they fit 64 bits.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class TopkConfig:
     scale: int = 256
     kept_bits: int = 7  # slices a dimension in the index
     block_rows: int = 16_384
-    block_queries: int = 2_048
+    block_queries: int = 16_384
 
 
 class SlicedIndex:
@@ -173,7 +174,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
         stacked = lambda x: np.stack(x["v"].to_numpy()).astype(np.int64)
         if not len(a) or not len(b):
             return pd.DataFrame({"query_id": [], "id": [], "score": []}, dtype=np.int64)
-        once = b.drop_duplicates("id")
+        once = b.assign(v=b["v"].map(tuple)).sort_values(["id", "v"]).drop_duplicates("id")
         q, i, s = cell_top(a["id"].to_numpy(np.int64), stacked(a), once["id"].to_numpy(np.int64), stacked(once), config)
         return pd.DataFrame({"query_id": q, "id": i, "score": s})
 
