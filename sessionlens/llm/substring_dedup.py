@@ -17,12 +17,17 @@ smaller id.
    neighbours part. Its deep internal nodes are the runs of neighbours that agree in ``size``
    words. They give the repeats: every suffix below a node with an earlier document.
 4. A deep node of more suffixes is a passage of very many documents. It is reduced to its
-   smallest id before the shuffle, and its suffixes are dealt out in shares that have a row with
-   that id as a guest, so that a passage of a third of all documents is in no single task.
-5. The places of each document are united: neighbouring ones form one maximal repeat.
+   smallest id before the shuffle, and its suffixes are dealt out in as many shares as groups of
+   that size need, each with a row of that id as a guest, so that a passage of a third of all
+   documents is in no single task.
+5. The places of each document are united: neighbouring ones form one maximal repeat. The trees
+   are cut at a depth of ``size`` words, as a deeper node can't remove a word that its suffixes'
+   nodes at that depth leave.
 
 Suffixes travel as hashes of their prefixes (32 bits, which only deal out groups) and of their
-first ``size`` words (64 bits), never as texts. Defined results: null and
+first ``size`` words (96 bits: among 10^13 suffixes, two different ones agree with a chance
+below 0.001), never as texts. Tables of anchors and copies are written before they are joined,
+so that Spark splits the partition of a hot one. Defined results: null and
 empty texts have no words; documents shorter than ``size`` lose nothing; rows of equal id and text
 get equal results, and rows of equal id and other text are judged against smaller ids only; null
 ids count as the largest and are never a source of removal; an empty table gives an empty result;
@@ -40,10 +45,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored
-from .words import slabs, whole, windows
+from .words import mix, slabs, whole, windows
 
 _LAST = np.iinfo(np.int64).max
-_SHARES = 64
+_OTHER = np.uint64(0x5851F42D4C957F2D)  # gives words a second hash
 
 
 @dataclass(frozen=True)
@@ -113,7 +118,7 @@ def first_look(rows: DataFrame, config: SubstringConfig) -> DataFrame:
 
 def suffixes_of(texts: DataFrame, config: SubstringConfig) -> DataFrame:
     """Suffixes whose anchor is shared: id, spot (t and place), hashes of their prefixes, and of their first ``size`` words."""
-    names = [*(f"p{k}" for k in range(len(config.ladder))), "node"]
+    names = [*(f"p{k}" for k in range(len(config.ladder))), "node", "check"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,21 +130,22 @@ def suffixes_of(texts: DataFrame, config: SubstringConfig) -> DataFrame:
                     at = np.flatnonzero(np.isin(anchors(h, config.size)[1].view(np.int64), _values(batch.column(3), slab.first + i)))
                     for out, length in zip(keys, config.ladder, strict=False):
                         out.append((windows(h, length)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                    keys[-1].append(windows(h, config.size)[at].view(np.int64))
+                    keys[-2].append(windows(h, config.size)[at].view(np.int64))
+                    keys[-1].append((windows(mix(h ^ _OTHER), config.size)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                     spots.append(np.int64(marks[slab.first + i]) << np.int64(32) | at)
                     who.append(np.full(len(at), ids[slab.first + i], np.int64))
                 if sum(map(len, who)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (who, spots, *keys)], names=["id", "spot", *names])
 
-    return texts.select("id", "t", "text", "shared").mapInArrow(run, "id long, spot long, " + ", ".join(f"{x} int" for x in names[:-1]) + ", node long")
+    return texts.select("id", "t", "text", "shared").mapInArrow(run, "id long, spot long, " + ", ".join(f"{x} int" for x in names[:-2]) + ", node long, check int")
 
 
 def _subtrees(levels: int):
     """Sorted suffixes to those below a deep internal node with an earlier document.
 
-    The columns are the prefix hashes, node, id and spot, in this order of sorting. Depth 0 to
-    ``levels`` says how many prefixes two neighbours have in common; beyond it, they agree in
-    ``size`` words.
+    The columns are the prefix hashes, the two hashes of ``size`` words, id and spot, in this
+    order of sorting. The depth at which two neighbours part is the number of leading columns
+    that they have in common; below ``levels + 2`` they part before ``size`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,15 +153,15 @@ def _subtrees(levels: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(levels + 1)])
-            ids = batch.column(levels + 1).to_numpy()
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(levels + 2)])
+            ids = batch.column(levels + 2).to_numpy()
             same = np.logical_and.accumulate(keys[:, 1:] == keys[:, :-1], axis=0).sum(axis=0)  # depths at which neighbours part
-            begins = np.concatenate([[last is None or bool((keys[:, 0] != last).any())], same <= levels])
+            begins = np.concatenate([[last is None or bool((keys[:, 0] != last).any())], same < levels + 2])
             heads = np.flatnonzero(begins)
             least = np.concatenate([[first], ids[heads]])[np.cumsum(begins)]  # ids ascend below a node
             last, first = keys[:, -1].copy(), int(least[-1])
             late = np.flatnonzero(least < ids)
-            yield pa.RecordBatch.from_arrays([batch.column(levels + 1).take(pa.array(late)), batch.column(levels + 2).take(pa.array(late))], names=["id", "spot"])
+            yield pa.RecordBatch.from_arrays([batch.column(levels + 2).take(pa.array(late)), batch.column(levels + 3).take(pa.array(late))], names=["id", "spot"])
 
     return run
 
@@ -163,20 +169,21 @@ def _subtrees(levels: int):
 def repeats(suffixes: DataFrame, config: SubstringConfig) -> DataFrame:
     """id and spot of the suffixes that an earlier document repeats in ``size`` words; ``suffixes`` is a stored table."""
     prefixes = [f"p{k}" for k in range(len(config.ladder))]
-    order = [*prefixes, "node", "id"]
+    order = [*prefixes, "node", "check", "id"]
     rows, label, rest = suffixes, F.lit(None).cast("long"), F.lit(True)
     for name in (*prefixes, "node"):  # prolong the prefixes of too many suffixes; the others count as one null
-        key = F.when(rest, F.col(name)).alias(name)
-        counts = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(f"_{x}") for x in prefixes])
+        key = [name, "check"] if name == "node" else [name]
+        counts = rows.groupBy(*[F.when(rest, F.col(x)).alias(x) for x in key]).agg(F.count("*").alias("n"), F.min("id").alias("first"), *[F.min(x).alias(f"_{x}") for x in prefixes])
         many = stored(counts.filter(F.col(name).isNotNull() & (F.col("n") > config.group_suffixes)), f"substring-{name}")
-        rows = rows.join(many.select(name, F.lit(True).alias(f"many_{name}")), name, "left")  # at most a row for group_suffixes of the suffixes
-        frequent = F.coalesce(F.col(f"many_{name}"), F.lit(False))
+        shares = F.ceil(F.col("n") / config.group_suffixes).alias(f"shares_{name}")
+        rows = rows.join(many.select(*key, shares), key, "left")  # at most a row for group_suffixes of the suffixes
+        frequent = F.col(f"shares_{name}").isNotNull()
         label, rest = F.coalesce(label, F.when(rest & ~frequent, F.col(name).cast("long"))), rest & frequent
     # a deep node of too many suffixes: shares of it, each with the node's smallest id as a guest
-    share = F.pmod(F.xxhash64("id", "spot"), F.lit(_SHARES))
-    dealt = rows.select(F.coalesce(label, F.xxhash64("node", share)).alias("label"), *order, "spot")
-    guests = many.select("node", "first", *[F.col(f"_{x}").alias(x) for x in prefixes], F.explode(F.expr(f"sequence(0L, {_SHARES - 1}L)")).alias("share"))
-    guests = guests.select(F.xxhash64("node", "share").alias("label"), *prefixes, "node", F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
+    share = F.pmod(F.xxhash64("id", "spot"), F.coalesce("shares_node", F.lit(1).cast("long")))
+    dealt = rows.select(F.coalesce(label, F.xxhash64("node", "check", share)).alias("label"), *order, "spot")
+    guests = many.select("node", "check", "first", *[F.col(f"_{x}").alias(x) for x in prefixes], F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
+    guests = guests.select(F.xxhash64("node", "check", "share").alias("label"), *prefixes, "node", "check", F.col("first").alias("id"), F.lit(-1).cast("long").alias("spot"))
     dealt = dealt.unionByName(guests)
     return dealt.repartition("label").sortWithinPartitions(*order).select(*order, "spot").mapInArrow(_subtrees(len(prefixes)), "id long, spot long")
 
@@ -212,10 +219,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     look = stored(first_look(rows, config), "substring-looks").filter(F.col("n") >= config.size)
 
     # Texts with the word sequence of a smaller id lose everything; the others are the tree's texts.
-    least = look.groupBy("h1", "h2").agg(F.min("id").alias("least"))
-    known = stored(look.join(least, ["h1", "h2"]).select("id", "t", "anchors", (F.col("least") < F.col("id")).alias("copy")), "substring-texts")
+    least = stored(look.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most"), "substring-copies")
+    known = stored(look.join(least, ["h1", "h2"], "left").select("id", "t", "anchors", F.coalesce(F.col("least") < F.col("id"), F.lit(False)).alias("copy")), "substring-texts")
     marks = known.filter("not copy").select("id", "t", F.explode("anchors").alias("anchor"))
-    forked = marks.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("anchor")
+    forked = stored(marks.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("anchor"), "substring-anchors")
     shared = stored(marks.join(forked, "anchor").groupBy("id", "t").agg(F.collect_set("anchor").alias("shared")), "substring-shared")
     suffixes = stored(suffixes_of(rows.join(shared, ["id", "t"]), config), "substring-suffixes")
     found = repeats(suffixes, config)
