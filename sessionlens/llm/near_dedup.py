@@ -13,7 +13,9 @@
    collision-corrected estimate of their registers allows 0.8 at all. Nodes that are left
    unlinked in a star of several blocks are then compared with its other blocks. So each pair
    that agrees in a band is decided, and neither pairs nor hot groups are gathered anywhere.
-4. Components of the links are found by alternating large and small stars in Spark.
+4. Components of the links are found by alternating large and small stars in Spark. What is
+   known of a node or centre is written before it is joined to the rows of it, so that both
+   sides of those joins are plain shuffles and Spark splits the partition of a hot one.
 
 Defined results: texts without words have an empty set and are linked with nothing; texts with
 fewer words than a shingle have their whole sequence as the only one; repeated rows and rows
@@ -224,10 +226,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = mark(e)
     while before[0]:
         both = e.selectExpr("u a", "v b").union(e.selectExpr("v a", "u b"))
-        large = both.join(least(both), "a").filter("b > a").select(F.col("b").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        large = both.join(stored(least(both), "least"), "a").filter("b > a").select(F.col("b").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         large = stored(large, "edges")
         down = large.selectExpr("u a", "v b")
-        small = down.join(least(down), "a").select(F.inline(F.array(F.struct(F.col("b").alias("u"), F.col("m").alias("v")), F.struct(F.col("a").alias("u"), F.col("m").alias("v"))))).filter("u > v").distinct()
+        small = down.join(stored(least(down), "least"), "a").select(F.inline(F.array(F.struct(F.col("b").alias("u"), F.col("m").alias("v")), F.struct(F.col("a").alias("u"), F.col("m").alias("v"))))).filter("u > v").distinct()
         e = stored(small, "edges")
         now = mark(e)
         if now == before:
@@ -249,7 +251,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
     star = star.join(sized, "id")
     size = star.groupBy("center").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("rows") / config.block_rows), F.ceil(F.col("shingles") / config.block_shingles)).cast("int")
-    star = star.join(size.select("center", blocks.alias("blocks")), "center")
+    wide = stored(size.select("center", blocks.alias("blocks")).filter("blocks > 1"), "near-wide")
+    star = star.join(wide, "center", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     # the centre stands in every block of its star
     where = F.when(F.col("id") == F.col("center"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))
@@ -262,12 +265,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
 
     # stars of several blocks: nodes that stayed outside in theirs meet the other blocks
     alone = links.filter("u = v").select("center", F.col("u").alias("id"))
-    wide = cells.filter("blocks > 1 and id <> center").withColumn("home", home)
+    spread = cells.filter("blocks > 1 and id <> center").withColumn("home", home)
     few = F.greatest(F.lit(1), F.ceil(F.col("blocks") / 4)).cast("int")  # groups of the guests
     lot = F.pmod(F.xxhash64("id", F.lit(7)), few).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("home"))
-    guests = wide.join(alone, ["center", "id"]).select("center", F.explode(others).alias("block"), lot.alias("lot"), "id", "h1", "text", "regs", F.lit(True).alias("guest"))
-    hosts = wide.select("center", "block", F.explode(F.sequence(F.lit(0), few - 1)).alias("lot"), "id", "h1", "text", "regs", F.lit(False).alias("guest"))
+    guests = spread.join(alone, ["center", "id"]).select("center", F.explode(others).alias("block"), lot.alias("lot"), "id", "h1", "text", "regs", F.lit(True).alias("guest"))
+    hosts = spread.select("center", "block", F.explode(F.sequence(F.lit(0), few - 1)).alias("lot"), "id", "h1", "text", "regs", F.lit(False).alias("guest"))
     meeting = hosts.join(guests.select("center", "block", "lot").distinct(), ["center", "block", "lot"], "left_semi").unionByName(guests)
     crossed = meeting.repartition("center", "block", "lot").sortWithinPartitions("center", "block", "lot", "id").mapInArrow(_across(config), "u long, v long")
     edges = links.filter("u > v").select("u", "v").unionByName(crossed)
