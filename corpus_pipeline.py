@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.llm import near_dedup, pii, quality_rules, sentencepiece_scan, source_mixing
-from sessionlens.llm.shared import stored, table
+from sessionlens.llm.shared import passing, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,8 +71,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, "stage-" + name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        with passing(spark):  # what a stage keeps meanwhile goes when it is written
+            docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
