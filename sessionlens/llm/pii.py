@@ -7,12 +7,17 @@ and ``phone`` (10 to 15 digits), each matched leftmost and without overlaps; a m
 fails its test is dropped. The patterns are written with possessive loops and look-behinds,
 which match the same spans but take linear time and no stack on long runs.
 
-Bootstrapping: base spans are the seeds, and a candidate is a word with five digits or more
-outside them. The pattern of either is its two words to the left, digits folded to 0. Over the
+Bootstrapping: base spans are the seeds, and candidates are the words outside them that look like
+identifiers: those with a digit, ``@`` or ``_``, or a dot or colon between letters, and digits
+in groups. The pattern of either is its two words to the left, digits folded to 0. Over the
 graph of patterns and distinct seeds and candidates, patterns are scored by the mean score of their candidates
-and candidates by the best of their patterns, in turns; seeds keep the score 1. Candidates
-under a pattern of high confidence and with enough seeds become spans of the kind
-``learned``.
+and candidates by the best of their patterns, in turns, until the scores stand still; seeds keep
+the score 1, so that no score ever falls. Candidates under a pattern of high confidence and with
+enough seeds become spans of the kind ``learned``. Words of letters alone are no candidates, as
+any word of prose would be one.
+
+Places of n matches are sums over blocks of their square root, so that a text of many matches
+takes n^1.5 steps and not n^2.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts have no
 spans; repeated rows give repeated results; an empty table gives an empty result; columns
@@ -21,6 +26,7 @@ besides id and text are not read by ``spans_found`` and unchanged by ``masked``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,14 +41,15 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A word with at least five digits.
-CANDIDATE = r"(?<!\S)(?=(?:[^\s0-9]*+[0-9]){5})\S++"
+#: Digits in groups, or a word with a digit, @ or _, or with a dot or colon between letters.
+CANDIDATE = r"(?<!\S)(?:[0-9]{1,4}(?:\x20[0-9]{1,4})++(?!\S)|(?=\S*?[0-9@_]|\S*?\p{L}[.:]\p{L})\S++)"
 SPAN = "array<struct<kind: string, start: int, end: int>>"
 
 
 @dataclass(frozen=True)
 class PiiConfig:
-    rounds: int = 3
+    most_rounds: int = 100  # scores grow to their limits by a constant share a round
+    still: float = 1e-6  # growth of the sum of confidences at which they stand still
     min_confidence: float = 0.8
     min_seeds: int = 3  # distinct seed candidates of a pattern
 
@@ -65,6 +72,21 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _blocks(values: Column) -> Column:
+    """An array, not empty, in parts of about the square root of its size."""
+    size = F.size(values)
+    return _let(F.ceil(F.sqrt(size)).cast("int"), lambda b: F.transform(F.sequence(F.lit(0), F.ceil(size / b).cast("int") - 1), lambda k: F.slice(values, k * b + 1, b)))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+
+
 def placed(text: Column, pattern: str) -> Column:
     """Matches with their places: array of (match, before, start); ``before`` is the text since the last match.
 
@@ -73,16 +95,19 @@ def placed(text: Column, pattern: str) -> Column:
     """
     between = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(matches.alias("match"), F.slice(between, 1, F.size(matches)).alias("before"))
-    start = F.lit(0)
-    acc = F.struct(start.alias("at"), F.array().cast("array<struct<match: string, before: string, start: int>>").alias("out"))
+    pairs = F.transform(F.arrays_zip(matches.alias("match"), between.alias("before")), lambda x: F.struct(x["match"].alias("match"), x["before"].alias("before"), (F.length(x["before"]) + F.length(x["match"])).alias("step")))
+    pairs = F.filter(pairs, lambda x: x["match"].isNotNull())  # what follows the last match
 
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + F.length(x["before"])
-        return F.struct((begin + F.length(x["match"])).alias("at"), F.concat(a["out"], F.array(F.struct(x["match"].alias("match"), x["before"].alias("before"), begin.alias("start")))).alias("out"))
+    def part(block: Column, begin: Column) -> Column:
+        steps = F.transform(block, lambda x: x["step"])
+        return _let(steps, lambda step: F.transform(block, lambda x, i: F.struct(x["match"].alias("match"), x["before"].alias("before"), (begin + _sum(F.slice(step, F.lit(1), i)) + F.length(x["before"])).alias("start"))))
+
+    def all_parts(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda block: _sum(F.transform(block, lambda x: x["step"])))
+        return _let(sums, lambda total: F.flatten(F.transform(blocks, lambda block, k: _let(_sum(F.slice(total, F.lit(1), k)), lambda begin: part(block, begin)))))
 
     empty = F.array().cast("array<struct<match: string, before: string, start: int>>")
-    return F.when(text.rlike(pattern), F.aggregate(pairs, acc, step, lambda a: a["out"])).otherwise(empty)
+    return F.when(text.rlike(pattern), _let(pairs, lambda p: _let(_blocks(p), all_parts))).otherwise(empty)
 
 
 def base_marks(text: Column) -> Column:
@@ -108,7 +133,8 @@ def _named(spans: Column, kinds: tuple[str, ...]) -> Column:
 def _pattern(before: Column, first: Column) -> Column:
     """The last two words before an instance; another instance of its kind counts as <id>."""
     near = F.when(first, before).otherwise(F.concat(F.lit("<id>"), before))
-    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_extract(F.substring(near, -200, 200), r"(?:\S+\s+)?\S+\s*$", 0), r"[0-9]", "0"), r"\s+", " "))
+    words = F.reverse(F.regexp_extract(F.reverse(near), r"^\s*+\S++(?:\s++\S++)?", 0))
+    return F.lower(F.regexp_replace(F.regexp_replace(words, r"[0-9]", "0"), r"\s+", " "))
 
 
 def candidates(text: Column, marks: Column) -> Column:
@@ -120,8 +146,13 @@ def candidates(text: Column, marks: Column) -> Column:
         return F.struct(_pattern(x["before"], i == 0).alias("pattern"), word.alias("instance"), start.alias("start"), (start + F.length(word)).alias("end"), F.lit(False).alias("seed"))
 
     seeds = F.transform(marks, lambda m: F.struct(_pattern(m["before"], m["start"] == F.length(m["before"])).alias("pattern"), m["match"].alias("instance"), m["start"].alias("start"), m["end"].alias("end"), F.lit(True).alias("seed")))
-    words = F.filter(F.transform(placed(text, CANDIDATE), of), lambda x: ~F.exists(marks, lambda m: (m["start"] < x["end"]) & (x["start"] < m["end"])))
-    return F.concat(seeds, words)
+    words = F.filter(F.transform(placed(text, CANDIDATE), of), lambda x: x["instance"] != "")
+    span = F.transform(marks, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
+    parts = lambda m: F.transform(_blocks(m), lambda p: F.struct(F.get(p, F.lit(0))["start"].alias("start"), F.array_max(F.transform(p, lambda x: x["end"])).alias("end"), p.alias("part")))
+    meets = lambda a, x: (a["start"] < x["end"]) & (x["start"] < a["end"])
+    outside = lambda found, blocks: F.filter(found, lambda x: ~F.exists(blocks, lambda p: meets(p, x) & F.exists(p["part"], lambda m: meets(m, x))))
+    clear = F.when((F.size(marks) == 0) | ~text.rlike(CANDIDATE), words).otherwise(_let(span, lambda m: _let(parts(m), lambda p: outside(words, p))))
+    return F.concat(seeds, clear)
 
 
 def _first_pass(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -137,16 +168,18 @@ def learned_patterns(first: DataFrame, config: PiiConfig = PiiConfig()) -> tuple
     places = first.filter("key is not null").select("key", F.inline("found")).filter("pattern <> ''").distinct()
     places = stored(places, "pii-candidates")
     graph = stored(places.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
-    scores = graph.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(F.max("score").alias("score"))
-    patterns = None
-    for _ in range(config.rounds):
-        edges = graph.join(scores, "instance")
-        patterns = edges.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-        sure = F.when((F.col("confidence") >= config.min_confidence) & (F.col("seeds") >= config.min_seeds), F.col("confidence")).otherwise(0.0)
-        scores = graph.join(patterns.select("pattern", sure.alias("sure")), "pattern").groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("sure"))).alias("score"))
-        scores = stored(scores, "pii-scores")
-    good = patterns.filter((F.col("confidence") >= config.min_confidence) & (F.col("seeds") >= config.min_seeds))
-    return stored(good, "pii-patterns"), places
+    scores = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
+    good, before = None, 0.0
+    for _ in range(config.most_rounds):
+        patterns = graph.join(scores, "instance").groupBy("pattern").agg(F.avg("score").alias("confidence"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        good = stored(patterns.filter((F.col("confidence") >= config.min_confidence) & (F.col("seeds") >= config.min_seeds)), "pii-patterns")
+        now = good.agg(F.coalesce(F.sum("confidence"), F.lit(0.0)).alias("sum")).collect()[0]["sum"]
+        if now <= before + config.still:
+            break
+        before = now
+        sure = F.coalesce("confidence", F.lit(0.0))
+        scores = stored(graph.join(good.select("pattern", "confidence"), "pattern", "left").groupBy("instance").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(sure)).alias("score")), "pii-scores")
+    return good, places
 
 
 def _learned_spans(first: DataFrame, config: PiiConfig) -> DataFrame:

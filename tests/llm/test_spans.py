@@ -39,9 +39,11 @@ def test_guess_cost_is_the_cheapest_segmentation():
     def cheapest(value, i=0):
         if i == len(value):
             return 0.0
-        return min(cost + (config.part_cost if i else 0) + cheapest(value, j) for j, cost, _ in secret_scan.part_costs(value, i, config))
+        parts = [(j, cost) for j, cost, _ in secret_scan.part_costs(value, i, config)]
+        parts += [(j, secret_scan._brute(value[i:j])) for j in range(i + 1, len(value) + 1)]
+        return min(cost + (config.part_cost if i else 0) + cheapest(value, j) for j, cost in parts)
 
-    for value in ("password1", "qwerty12", "aaaaaaaa", "Xk9$mQ2v", "20240131", "abcabcabc", "p@ssw0rd", "zxcvbn7", "1q2w3e"):
+    for value in ("password1", "qwerty12", "aaaaaaaa", "Xk9$mQ2v", "20240131", "abcabcabc", "p@ssw0rd", "zxcvbn7", "1q2w3e", "abcqZ!7é", "éÉ9-x", "qwX92817364550aa"):
         assert math.isclose(secret_scan.guess_cost(value), cheapest(value))
     cheap, dear = secret_scan.guess_cost("password2024"), secret_scan.guess_cost("Zk93vQx1LmT8")
     assert cheap < 9 < dear
@@ -127,7 +129,31 @@ def test_contexts_discover_identifiers(spark):
     assert all(k == "phone" for i in range(8) for k, _, _ in found[i])
 
 
-def scored(docs, rounds=3, least=0.8, seeds=3):
+def test_contexts_discover_other_shapes(spark):
+    mails = [(i, f"send it by e-mail to user{i}@example.org or not") for i in range(9)] + [(20 + i, f"the server answered from 10.0.{i}.7 again") for i in range(9)]
+    far = "x" * 300
+    mails += [(40 + i, f"{far} dial: +1 555 010 {1000 + i}") for i in range(6)]
+    unseen = ["send it by e-mail to john.doe or not", "e-mail to user@localhost", "the server answered from fe80::a1 again", f"{far} dial: 12 34 56 78", "e-mail to somebody else", "version from 2.0 on"]
+    df = spark.createDataFrame(mails + [(100 + k, t) for k, t in enumerate(unseen)], "doc_id long, text string")
+    found = {r["doc_id"]: [(x["kind"], x["start"], x["end"]) for x in r["found"]] for r in pii.spans_found(df).collect()}
+    said = [[unseen[k][s:e] for kind, s, e in found[100 + k] if kind == "learned"] for k in range(len(unseen))]
+    assert said == [["john.doe"], ["user@localhost"], ["fe80::a1"], ["12 34 56 78"], [], []]
+
+
+def test_texts_of_very_many_numbers(spark):
+    rng = random.Random(3)
+    many = " ".join(rng.choice(["10.0.0.%d" % rng.randrange(300), "%d" % rng.randrange(10**9), "a@b.cd", "word"]) for _ in range(20_000))
+    df = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    row = secret_scan.span_digests(pii.spans_found(df), "doc_id", pii.BASE).collect()[0]
+    assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"], row["base_sha256"]) == plain.pii_base(many)
+    found = pii._first_pass(df, "text", []).select(F.inline("found")).collect()
+    assert all(many[x["start"] : x["end"]] == x["instance"] for x in found)
+    seeds = {k for x in found if x["seed"] for k in range(x["start"], x["end"])}
+    rest = [x for x in found if not x["seed"]]
+    assert len(rest) > 1000 and not any(k in seeds for x in rest for k in range(x["start"], x["end"]))
+
+
+def scored(docs, rounds=60, least=0.8, seeds=3):
     """Patterns by the rule of the operator, plainly, from (pattern, instance, seed)."""
     edges = {}
     for p, i, s in docs:
@@ -155,7 +181,7 @@ def test_pattern_scores_equal_plain(spark):
     first = pii._first_pass(spark.createDataFrame(docs, "doc_id long, text string"), "text", ["doc_id"]).cache()
     good, places = pii.learned_patterns(first)
     wanted = scored([(r["pattern"], r["instance"], r["seed"]) for r in places.collect()])
-    assert {r["pattern"]: round(r["confidence"], 9) for r in good.collect()} == {p: round(c, 9) for p, c in wanted.items()}
+    assert {r["pattern"]: round(r["confidence"], 5) for r in good.collect()} == {p: round(c, 5) for p, c in wanted.items()}
     assert wanted
 
 
