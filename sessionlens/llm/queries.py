@@ -36,7 +36,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
-    return secret_scan.span_digests(found, "doc_id", ("assign", "access", "hex"))
+    digests = secret_scan.span_digests(found.withColumn("hardest", F.array_max(F.transform("found", lambda x: x["log10_guesses"]))), "doc_id", ("assign", "access", "hex"), "hardest")
+    return digests.withColumnRenamed("hardest", "max_log10_guesses")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,8 @@ _WORD = "|".join(_ANY(w) for w in sorted(_CONTEXT_WORDS, key=len, reverse=True))
 #: Credential words, also as parts of compounds ("db_password", "secret_value"), and ``key`` as the last part of one ("signing-key", "signingKey").
 CONTEXT = re.compile(rf"""(?:(?:(?<![A-Za-z0-9])(?:{_WORD})|(?:(?<=[A-Za-z0-9][_-]){_ANY("key")}|(?<=[a-z])Key)[sS]?)["']?(?:\x20*[:=]\x20*|\x20+(?:is|was)\x20+|\x20+(?=[A-Za-z0-9+/_.=-]*[0-9]))|(?<![A-Za-z0-9])(?:{_WORD})(?:[_-][A-Za-z0-9]++){{1,3}}["']?\x20*[:=]\x20*)["']?([^\s"'<>,;]+)""")
 _HINTS = ("pass", "pwd", "secret", "token", "credential", "bearer", "key")
+
+
 class Ranks(dict):
     """Words by rank; the rank is the number of guesses. Hashed by identity, for guess_cost."""
 
@@ -70,14 +72,22 @@ class SecretConfig:
     min_value: int = 6
     min_log10_guesses: float = 9.0
     part_cost: float = 0.7  # log10 of the guesses for how parts are combined
-    max_brute: int = 12  # longest single brute-force span; longer ones are several
     min_docs: int = 5  # texts that a word of the corpus stands in
     max_words: int = 100_000  # most frequent words of the corpus; they are sent to every executor
 
 
+#: Classes of characters and how many a class has; of a span with classes c, each character takes log10 of their sum.
+_SIZES = (26, 26, 10, 33)
+_EACH = [math.log10(max(sum(n for k, n in enumerate(_SIZES) if c >> k & 1), 10)) for c in range(16)]
+
+
+def _class(c: str) -> int:
+    """Number of a character's class: lower case, upper case, digit, other."""
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 if not c.isalnum() else 0
+
+
 def _brute(part: str) -> float:
-    sizes = (26 * any(c.islower() for c in part)) + (26 * any(c.isupper() for c in part)) + (10 * any(c.isdigit() for c in part)) + (33 * any(not c.isalnum() for c in part))
-    return len(part) * math.log10(max(sizes, 10))
+    return len(part) * _EACH[sum(1 << k for k in set(map(_class, part)))]
 
 
 class Runs:
@@ -100,11 +110,12 @@ class Runs:
 
 
 def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = None, words: Ranks = WORDS) -> Iterator[tuple[int, float, str]]:
-    """The parts that begin at i: end, log10 of guesses, kind."""
+    """The parts that begin at i, but for brute-force spans: end, log10 of guesses, kind.
+
+    A repeat is one character three times or more, or a block of 2 to 8 twice or more.
+    """
     runs = runs or Runs(value)
     low, n = runs.low, len(value)
-    for j in range(i + 1, min(n, i + config.max_brute) + 1):
-        yield j, _brute(value[i:j]), "brute"
     for j in range(i + 2, min(n, i + words.longest) + 1):
         plain = low[i:j]
         rank = words.get(plain) or 2 * words.get(plain.translate(_LEET), 0)
@@ -125,12 +136,25 @@ def part_costs(value: str, i: int, config: SecretConfig, runs: Runs | None = Non
 
 @lru_cache(4096)
 def guess_cost(value: str, config: SecretConfig = SecretConfig(), words: Ranks = WORDS) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` takes."""
+    """log10 of the guesses that the cheapest segmentation of ``value`` takes.
+
+    Brute-force spans have any length. One that is open at a place is known by the classes that
+    it may draw from, so that each place has at most 15 of them; a span is cheapest with just
+    the classes that it holds.
+    """
     best = [0.0] + [math.inf] * len(value)
     runs = Runs(value)
-    for i in range(len(value)):
+    kinds = sorted(set(map(_class, value)))
+    sets = [c for c in range(1, 16) if all(k in kinds for k in range(4) if c >> k & 1)]
+    spans = dict.fromkeys(sets, math.inf)
+    for i, char in enumerate(value):
+        begin = best[i] + (config.part_cost if i else 0)
+        has = _class(char)
+        for c in sets:
+            spans[c] = min(spans[c], begin) + _EACH[c] if c >> has & 1 else math.inf
+        best[i + 1] = min(best[i + 1], *spans.values())
         for j, cost, _ in part_costs(value, i, config, runs, words):
-            best[j] = min(best[j], best[i] + cost + (config.part_cost if i else 0))
+            best[j] = min(best[j], begin + cost)
     return best[-1]
 
 
@@ -198,11 +222,11 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-def span_digests(found: DataFrame, id_col: str, base: tuple[str, ...]) -> DataFrame:
-    """Counts of the base kinds, base_sha256 and spans from an ordered ``found`` column."""
+def span_digests(found: DataFrame, id_col: str, base: tuple[str, ...], *more: str) -> DataFrame:
+    """Counts of the base kinds, base_sha256 and spans from an ordered ``found`` column, and ``more`` columns."""
     joined = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     of = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select(id_col, *map(of, base), F.sha2(joined(F.filter("found", lambda x: x["kind"].isin(*base))), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+    return found.select(id_col, *map(of, base), F.sha2(joined(F.filter("found", lambda x: x["kind"].isin(*base))), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"), *more)
 
 
 def brute_force(text: str | None) -> tuple[int, int, int, str]:
