@@ -1,12 +1,20 @@
 """Main text of web pages, with site templates removed.
 
-Pages are parsed into elements. Every element has a hash of its subtree (names, attributes
-and texts); Spark counts on how many pages of a host each subtree stands, and subtrees that
-recur on many pages of their host (10, and a fifth of the host or 50) are templates and are
-deleted. Pages of equal main text are copies and count once. What remains is searched
-for the main part: ``article`` or ``main`` elements if there are some, else the body; and
-inside it, elements that are menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles or reader comments, by name, role or class, are left out.
+Pages are parsed into elements. An element has two hashes of its subtree: one of names, classes,
+roles and texts, and one of its shape, without texts and with a run of alike children as one.
+Spark counts on how many pages of a host each subtree stands, and subtrees that recur on many
+pages of their host (10, and a fifth of the host or 50) are templates and are deleted. Pages of
+equal main text are copies and count once.
+
+Shapes recur in prose too, so they count only for elements that are mostly links or that stand
+beside the page's main container: from the root downward, the child element that holds half of
+the words outside links or more. Elements with over a third of these words, and those named
+and classed like a main container, are never deleted by shape.
+
+What remains is searched for the main part: ``article`` or ``main`` elements if there are some,
+else the body; and inside it, elements that are menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles or reader comments, by name, role or class, are left out. This
+serves pages that are too few on their host to show templates.
 
 The text of a block is what stands between block boundaries: character references decoded,
 white space folded to one space and trimmed. Blocks are joined by a line feed in page order.
@@ -15,8 +23,10 @@ Defined results: a null or empty page has the empty text; a url without a host b
 the host ''; repeated rows count once for templates and get equal texts; an empty
 table gives an empty result; columns besides id, url and html are not read.
 
-Only hosts and hashes of recurring subtrees are joined to the pages. Subtrees of one page
-are counted once; each host, subtree and page hash goes through the shuffle as three numbers.
+Pages are parsed once to find subtrees and the text that names alone would leave, and again only
+where a template lies in that text. Each host, page and subtree goes through the shuffle as a few
+numbers. A page is joined with the templates that it holds itself, not with those of its host, so
+that rows stay as small as pages on a host with very many templates.
 """
 
 from __future__ import annotations
@@ -52,6 +62,11 @@ _ROLES = frozenset("navigation banner contentinfo complementary search dialog al
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"[0-9]+")
+#: What no reader sees.
+UNSEEN = frozenset("head script style noscript template textarea title svg math iframe object canvas audio video map datalist".split())
+_INLINE = frozenset("b i em strong span u s small big sub sup abbr cite code q mark font time var kbd samp wbr br img".split())
+_CONTAINERS = frozenset("html body div section main article center table tbody tr td".split())
 
 
 @dataclass(frozen=True)
@@ -62,10 +77,13 @@ class HtmlConfig:
 
 
 class Node:
-    __slots__ = ("name", "attrs", "items", "hash", "words")
+    """An element: hash and shape of its subtree, its words, and those of them outside links."""
+
+    __slots__ = ("name", "attrs", "items", "hash", "shape", "words", "prose")
 
     def __init__(self, name: str, attrs: str = ""):
-        self.name, self.attrs, self.items, self.hash, self.words = name, attrs, [], 0, 0
+        self.name, self.attrs, self.items = name, attrs, []
+        self.hash = self.shape = self.words = self.prose = 0
 
 
 def parse(page: str | None) -> Node:
@@ -115,8 +133,16 @@ def _close(stack: list[Node], name: str) -> None:
             return
 
 
+def marks(node: Node) -> str:
+    """Name, classes and role of an element; digits count as one another. Other attributes vary from page to page."""
+    if not node.attrs:
+        return node.name
+    kept = [m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(node.attrs) if m[1].lower() in ("class", "role")]
+    return _DIGITS.sub("0", " ".join([node.name, *kept]))
+
+
 def hashed(root: Node) -> list[Node]:
-    """Give every element the hash of its subtree and its number of words; all elements, children first."""
+    """Give every element its hashes and numbers of words; all elements, children first."""
     out: list[Node] = []
     work = [(root, False)]
     while work:
@@ -125,15 +151,59 @@ def hashed(root: Node) -> list[Node]:
             work.append((node, True))
             work.extend((x, False) for x in node.items if isinstance(x, Node))
             continue
-        h = xxhash.xxh64(f"{node.name} {node.attrs}".encode("utf-8", "replace"))
+        exact, shape = [marks(node)], [marks(node)]
+        node.words = node.prose = 0
+        unseen = node.name in UNSEEN
         for x in node.items:
-            h.update(x.hash.to_bytes(8, "little") if isinstance(x, Node) else _SPACE.sub(" ", x).strip().encode("utf-8", "replace"))
-        node.hash = h.intdigest()
-        node.words = sum(x.words if isinstance(x, Node) else len(x.split()) for x in node.items)
+            if isinstance(x, Node):
+                exact.append(f"\x01{x.hash:x}")
+                mark = f"\x01{x.shape:x}" if x.name not in _INLINE else "\x02" if x.words else ""
+                node.words += x.words
+                node.prose += x.prose
+            else:
+                text = _SPACE.sub(" ", x).strip()
+                exact.append(text)
+                mark = "\x02" if text else ""
+                n = 0 if unseen or not text else text.count(" ") + 1
+                node.words += n
+                node.prose += n
+            if mark and mark != shape[-1]:
+                shape.append(mark)
+        if node.name == "a":
+            node.prose = 0
+        node.hash = xxhash.xxh64_intdigest("\x00".join(exact).encode("utf-8", "replace"))
+        node.shape = xxhash.xxh64_intdigest("".join(shape).encode("utf-8", "replace"), 1)
         out.append(node)
     return out
 
 
+def shaped(root: Node) -> list[Node]:
+    """Elements of a hashed page that may be deleted by shape."""
+    chain = [root]
+    while chain[-1].name not in ("article", "main"):
+        best = max((x for x in chain[-1].items if isinstance(x, Node)), key=lambda x: x.prose, default=None)
+        if best is None or not best.prose or 2 * best.prose < chain[-1].prose or best.name not in _CONTAINERS:
+            break
+        chain.append(best)
+    like = set(map(marks, chain))
+    found = []
+    work = [(root, True)]
+    while work:
+        node, beside = work.pop()
+        inner = beside and node is not chain[-1]
+        for x in node.items:
+            if not isinstance(x, Node):
+                continue
+            if x in chain:
+                work.append((x, True))
+                continue
+            work.append((x, inner))
+            links = x.words - x.prose
+            if x.name in TEMPLATE_NAMES and 3 * x.prose <= root.prose and (inner or links and links >= x.prose) and marks(x) not in like:
+                found.append(x)
+    return found
+
+
 def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
@@ -152,24 +222,33 @@ def is_noise(node: Node) -> bool:
     return False
 
 
-def _text_of(node: Node) -> str:
-    return " ".join(x if isinstance(x, str) else _text_of(x) for x in node.items)
+def _templates(root: Node) -> dict[int, Node]:
+    """Subtrees of a page that may be templates, by hash (one of those of equal hash)."""
+    by_text = {signed(n.hash): n for n in hashed(root) if n.items and (n.name in TEMPLATE_NAMES or n.name in WORDED_NAMES and n.words >= MIN_WORDS)}
+    return by_text | {signed(n.shape): n for n in shaped(root)}
 
 
-def templates_of(page: str | None, config: HtmlConfig = HtmlConfig()) -> set[int]:
-    """Hashes of the subtrees of a page that may be templates."""
-    return _templates(parse(page))
+def templates_of(page: str | None) -> set[int]:
+    return set(_templates(parse(page)))
 
 
-def _templates(root: Node) -> set[int]:
-    return {signed(n.hash) for n in hashed(root) if n.items and (n.name in TEMPLATE_NAMES or n.name in WORDED_NAMES and n.words >= MIN_WORDS)}
+def evidence(page: str) -> tuple[str, int, set[int], set[int]]:
+    """The text without regard to templates, a hash that copies of one page share (of that text, or of the page if
+    there is none), templates_of, and those of them that lie in the text."""
+    root = parse(page)
+    seen: set[int] = set()
+    text = _extract(root, frozenset(), seen=seen)
+    hashes = set(_templates(root))
+    inside = {signed(h) for x in _all(root) if id(x) in seen for h in (x.hash, x.shape)}
+    return text, signed(xxhash.xxh64_intdigest((text or page).encode("utf-8", "replace"))), hashes, hashes & inside
 
 
-def evidence(page: str | None) -> tuple[int, set[int]]:
-    """A hash that copies of one page share (of the main text, or of the page if there is none), and templates_of."""
-    root = parse(page)
-    text = _extract(root, frozenset()) or page or ""
-    return signed(xxhash.xxh64(text.encode("utf-8", "replace")).intdigest()), _templates(root)
+def _all(root: Node) -> Iterator[Node]:
+    work = [root]
+    while work:
+        node = work.pop()
+        yield node
+        work.extend(x for x in node.items if isinstance(x, Node))
 
 
 def main_parts(root: Node) -> list[Node]:
@@ -185,15 +264,23 @@ def main_parts(root: Node) -> list[Node]:
     return found or [root]
 
 
-def extract(page: str | None, drop: frozenset[int] | set[int] = frozenset()) -> str:
-    """Main text of a page without the subtrees whose hashes are in ``drop``."""
+def deleted(root: Node, drop: frozenset[int] | set[int]) -> frozenset[int]:
+    """Python ids of the elements of a page that are templates."""
+    nodes = hashed(root)
+    return frozenset([id(n) for n in nodes if signed(n.hash) in drop] + [id(n) for n in shaped(root) if signed(n.shape) in drop])
+
+
+def extract(page: str | None, drop: frozenset[int] | set[int] = frozenset(), named: bool = True) -> str:
+    """Main text of a page without the subtrees whose hashes are in ``drop``.
+
+    ``named=False`` leaves out only templates and what no reader sees.
+    """
     root = parse(page)
-    if drop:
-        hashed(root)
-    return _extract(root, drop)
+    return _extract(root, deleted(root, drop) if drop else frozenset(), named)
 
 
-def _extract(root: Node, drop: frozenset[int] | set[int]) -> str:
+def _extract(root: Node, gone: frozenset[int], named: bool = True, seen: set[int] | None = None) -> str:
+    """``seen`` gets the Python ids of the elements that the text comes from."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -203,8 +290,10 @@ def _extract(root: Node, drop: frozenset[int] | set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    for part in main_parts(root):
+    for part in main_parts(root) if named else [root]:
         flush()
+        if seen is not None:
+            seen.add(id(part))
         work: list[Node | str | None] = [*reversed(part.items)]
         while work:
             x = work.pop()
@@ -212,14 +301,15 @@ def _extract(root: Node, drop: frozenset[int] | set[int]) -> str:
                 flush()
             elif isinstance(x, str):
                 line.append(x)
-            elif is_noise(x) or drop and signed(x.hash) in drop:
+            elif (is_noise(x) if named else x.name in UNSEEN) or id(x) in gone:
                 if x.name in BLOCKS:
                     flush()
-            elif x.name in BLOCKS:
-                flush()
-                work.append(None)
-                work.extend(reversed(x.items))
             else:
+                if seen is not None:
+                    seen.add(id(x))
+                if x.name in BLOCKS:
+                    flush()
+                    work.append(None)
                 work.extend(reversed(x.items))
     flush()
     return "\n".join(blocks)
@@ -230,39 +320,48 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def host_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", config: HtmlConfig = HtmlConfig()) -> DataFrame:
-    """Per host: ``templates``, the hashes of subtrees that recur on many of its pages."""
+def first_look(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """Per row: id, url, host, key (of the html), text without regard to templates, page (which copies share), hashes, and those inside the text."""
+    id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [evidence(x.as_py()) for x in batch.column(1)]
-            hashes = pa.array([[0, *h] for _, h in found], pa.list_(pa.int64()))  # 0 counts the page
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in found], pa.int64()), hashes], names=["host", "page", "hashes"])
+            found = [evidence(x or "") for x in batch.column(4).to_pylist()]
+            lists = [pa.array([[0, *x[2]] for x in found], pa.list_(pa.int64())), pa.array([list(x[3]) for x in found], pa.list_(pa.int64()))]  # 0 counts the page
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()), *lists], names=["id", "url", "host", "key", "text", "page", "hashes", "inside"])
+
+    html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
+    rows = pages.select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), F.md5(F.coalesce(html, F.lit(""))).alias("key"), html.alias("html"))
+    return rows.mapInArrow(run, f"id {id_type}, url string, host string, key string, text string, page long, hashes array<long>, inside array<long>")
+
 
-    seen = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string")).mapInArrow(run, "host string, page long, hashes array<long>")
-    each = seen.select("host", "page", F.explode("hashes").alias("hash")).distinct()
-    counts = stored(each.groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-subtrees")
+def page_templates(look: DataFrame, config: HtmlConfig = HtmlConfig()) -> DataFrame:
+    """Per host and key of a page: ``templates``, the hashes of its subtrees that recur on many pages of the host."""
+    each = look.select("host", "key", "page", F.explode("hashes").alias("hash"))
+    counts = stored(each.groupBy("host", "hash", "page").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-counts")
     total = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
     many = counts.filter("hash <> 0").join(total, "host").filter(F.col("n") >= F.least(F.col("pages") * config.min_share, F.lit(config.most_pages)))
-    return many.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))
+    many = stored(many.select("host", "hash"), "html-templates")
+    return each.select("host", "key", "hash").join(many, ["host", "hash"]).groupBy("host", "key").agg(F.sort_array(F.collect_set("hash")).alias("templates"))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", config: HtmlConfig = HtmlConfig()) -> DataFrame:
-    """Per row: id, url and ``text``."""
-    templates = stored(host_templates(pages, url_col, html_col, config), "html-templates")
+    """Per row: id, url, ``text`` and ``n_templates``, how many of the page's subtrees recur on its host."""
+    look = stored(first_look(pages, id_col, url_col, html_col), "html-look")
+    own = stored(page_templates(look, config), "html-pages")
+    told = look.select("id", "url", "host", "key", "text", "inside").join(own, ["host", "key"], "left")
+    inside = F.coalesce(F.arrays_overlap("inside", "templates"), F.lit(False))
+    size = F.coalesce(F.size("templates"), F.lit(0)).cast("long").alias("n_templates")
+    stay = told.filter(~inside).select("id", "url", "text", size)
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, frozenset())
         for batch in batches:
-            texts = []
-            for page, hashes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if hashes != last[0]:
-                    last = hashes, frozenset(hashes or ())
-                texts.append(extract(page, last[1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
-
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    rows = rows.join(templates, "host", "left")  # a row a host; Spark broadcasts it while it is small
-    out = rows.select("id", "url", "html", "templates").mapInArrow(run, f"id {id_type}, url string, text string")
-    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
+            texts = [extract(page, frozenset(h)) for page, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(4)], names=["id", "url", "text", "n_templates"])
+
+    again = stored(look.select("host", "key", "inside").join(own, ["host", "key"]).filter(inside).select("host", "key", "templates").dropDuplicates(["host", "key"]), "html-again")
+    html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
+    rows = pages.select(F.col(id_col).alias("id"), url.alias("url"), html.alias("html"), host_of(url).alias("host"), F.md5(F.coalesce(html, F.lit(""))).alias("key"))
+    changed = rows.join(again, ["host", "key"]).select("id", "url", "html", "templates", size).mapInArrow(run, f"id {id_type}, url string, text string, n_templates long")
+    return stay.unionByName(changed).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_templates")

@@ -1,7 +1,11 @@
 """Main text of pages: hand-made cases, and templates counted plainly."""
 
-from collections import Counter
+import random
+import re
+from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
+import duckdb
 from pyspark.sql import functions as F
 
 from sessionlens.llm import html_extract, queries
@@ -10,6 +14,10 @@ from sessionlens.llm.shared import table
 SF = "/root/testdata/sf0.001"
 
 
+def host_of(url):
+    return url.split("://", 1)[1].split("/")[0].split(":")[0].lower() if "://" in (url or "") else ""
+
+
 def page(body, title="t"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style></head><body>{body}</body></html>"
 
@@ -61,10 +69,83 @@ def test_templates_by_distinct_pages(spark):
     assert text[2001] == "text 1 is very good"
 
 
+def test_templates_by_shape(spark):
+    rng = random.Random(4)
+    said = lambda n: " ".join(rng.choices("one two three four five six seven".split(), k=n))
+
+    def site(i):
+        links = "".join(f'<li><a href="/{rng.random()}">{said(2)}</a></li>' for _ in range(rng.randint(3, 9)))
+        return page(f'<div class="top"><ul>{links}</ul></div><div class="box">{said(5)}</div><div class="story"><p>{i} {said(40)}</p><div class="quote">{said(6)}</div><p>{said(30)}</p></div><div class="end">{said(4)} {i}</div>')
+
+    rows = [(i, f"http://a.example/{i}", site(i)) for i in range(30)] + [(100 + i, f"http://b.example/{i}", site(i)) for i in range(4)]
+    found = {r["page_id"]: r for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):  # other words on every page, alike shapes; the quote recurs inside the story
+        lines = found[i]["text"].split("\n")
+        assert len(lines) == 3 and lines[0].startswith(f"{i} ") and found[i]["n_templates"] >= 3
+    assert all(len(found[100 + i]["text"].split("\n")) > 5 and found[100 + i]["n_templates"] == 0 for i in range(4))
+
+
+def test_templates_alone_find_most_texts():
+    """Without names of menus, adverts and footers, recurring subtrees leave the same text on nearly all pages."""
+    pages = duckdb.sql("SELECT url, html FROM '/root/testdata/sf0.1/pages.parquet' WHERE html IS NOT NULL").fetchall()
+    held, total = defaultdict(set), defaultdict(set)
+    for url, html in pages:
+        _, key, hashes, _ = html_extract.evidence(html)
+        total[host_of(url)].add(key)
+        for h in hashes:
+            held[host_of(url), h].add(key)
+    drop = defaultdict(set)
+    for (name, h), keys in held.items():
+        if len(keys) >= 10 and len(keys) >= min(50, 0.2 * len(total[name])):
+            drop[name].add(h)
+    same = [html_extract.extract(html, drop[host_of(url)], named=False) == html_extract.extract(html) for url, html in pages]
+    assert sum(same) >= 0.97 * len(pages)
+    assert all(html_extract.extract(html, drop[host_of(url)]) == html_extract.extract(html) for url, html in pages[::7])  # and nothing of an article goes
+
+
+class Article(HTMLParser):
+    """The text of articles, block by block, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.skipped, self.blocks = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.skipped += tag in ("script", "style", "aside", "form", "nav", "footer")
+        if tag in html_extract.BLOCKS:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        self.skipped -= tag in ("script", "style", "aside", "form", "nav", "footer")
+        if tag in html_extract.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.skipped:
+            self.blocks[-1] += data
+
+
+def test_query_equals_other_parser(spark):
+    """On pages whose article holds no classed noise, the text is that of the standard library's parser."""
+    found = {r["page_id"]: r["text"] for r in queries.op2_html_extract(spark, SF).collect()}
+    tried = 0
+    for r in table(spark, SF, "pages").collect():
+        html = r["html"] or ""
+        if html.count("<article") != 1 or "class=" in html.split("<article", 1)[1]:
+            continue
+        parser = Article()
+        parser.feed(html)
+        tried += 1
+        assert found[r["page_id"]] == "\n".join(b for b in (re.sub(r"\s+", " ", x).strip() for x in parser.blocks) if b)
+    assert tried > 20
+
+
 def test_query_equals_plain(spark):
     pages = table(spark, SF, "pages").collect()
     config = html_extract.HtmlConfig()
-    host = {r["page_id"]: (r["url"].split("://", 1)[1].split("/")[0].split(":")[0].lower() if "://" in (r["url"] or "") else "") for r in pages}
+    host = {r["page_id"]: host_of(r["url"]) for r in pages}
     often, total = Counter(), Counter(host.values())
     for r in pages:
         for h in html_extract.templates_of(r["html"]):
