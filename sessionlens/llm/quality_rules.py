@@ -99,10 +99,10 @@ def base_failed(counts: np.ndarray, config: QualityConfig = QualityConfig()) ->
     return (words < config.min_words) | (100 * repeat > config.max_repeat_percent * words)
 
 
-#: name: (share of what, good up to, bad from); between the two limits a rule abstains.
+#: name: (share of what, good up to, bad from); between the two limits a rule abstains. Two shares that
+#: rise together, as of symbols and of words that end in one, make one rule, as votes count as independent.
 RULES = {
-    "symbols": (lambda c, n: c[:, 2] / n, 0.02, 0.15),
-    "symbol_ends": (lambda c, n: c[:, 9] / n, 0.02, 0.12),
+    "symbols": (lambda c, n: np.maximum(c[:, 2], 1.25 * c[:, 9]) / n, 0.02, 0.15),
     "repeated_windows": (lambda c, n: c[:, 4] / n, 0.05, 0.15),
     "capitals": (lambda c, n: c[:, 5] / np.maximum(c[:, 1], 1), 0.08, 0.25),
     "exclamations": (lambda c, n: c[:, 6] / n, 0.02, 0.2),
@@ -134,7 +134,7 @@ def votes_of(patterns: np.ndarray, rules: int = len(RULES)) -> np.ndarray:
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, config: QualityConfig = QualityConfig()) -> LabelModel:
     """Expectation-maximisation over vote patterns and how many texts have each.
 
-    It begins with texts that two rules or more call bad. A rule's rate of bad votes on good texts is held at
+    It begins with texts that a rule calls bad. A rule's rate of bad votes on good texts is held at
     ``max_false_alarm`` or less: without that, the likelier explanation of a corpus with
     several kinds of bad text would be that some kinds are good. The class called good is the one on which the rules
     vote good more often, so that the two classes cannot change places.
@@ -142,7 +142,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, config: QualityCon
     rules = len(RULES)
     votes = votes_of(patterns, rules)
     weight = counts.astype(float)
-    good = np.array([0.95, 0.7, 0.05])[np.minimum((votes < 0).sum(axis=1), 2)]
+    good = np.array([0.95, 0.3, 0.05])[np.minimum((votes < 0).sum(axis=1), 2)]
     model = LabelModel(config.prior_good, np.full((2, rules, 3), 1 / 3))
     for _ in range(config.iterations if len(patterns) else 0):
         table = np.empty((2, rules, 3))

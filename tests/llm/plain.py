@@ -59,6 +59,33 @@ def quality_base(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return len(w), sum(map(len, w)), symbols, dup, len(covered), len(w) < 10 or 100 * len(covered) > 20 * len(w)
 
 
+def label_model(votes: list[tuple[int, ...]], alarm: float = 0.01, pseudo: float = 1.0) -> list[float]:
+    """Posterior of each row of votes by expectation-maximisation, row by row."""
+    good = [{0: 0.95, 1: 0.3}.get(sum(v < 0 for v in row), 0.05) for row in votes]
+    for _ in range(200):
+        share = {}
+        for k in range(len(votes[0])):
+            for y in (0, 1):
+                sums = {v: pseudo + sum(g if y else 1 - g for g, row in zip(good, votes, strict=True) if row[k] == v) for v in (-1, 0, 1)}
+                whole = sum(sums.values())
+                share[k, y] = {v: n / whole for v, n in sums.items()}
+                if y and share[k, y][-1] > alarm:
+                    rest = (1 - alarm) / (1 - share[k, y][-1])
+                    share[k, y] = {-1: alarm, 0: share[k, y][0] * rest, 1: share[k, y][1] * rest}
+        prior = min(max((sum(good) + pseudo) / (len(votes) + 2 * pseudo), 0.01), 0.99)
+        new = []
+        for row in votes:
+            a, b = prior, 1 - prior
+            for k, v in enumerate(row):
+                a, b = a * share[k, 1][v], b * share[k, 0][v]
+            new.append(a / (a + b))
+        still = max(abs(x - y) for x, y in zip(new, good, strict=True)) < 1e-9
+        good = new
+        if still:
+            break
+    return good
+
+
 def shingles(text: str | None, size: int = 2) -> frozenset:
     w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(text)]
     if not w:

@@ -68,6 +68,26 @@ def test_rules_query(spark):
     assert np.mean(clean) > 0.9
 
 
+def test_verdict_equals_plain(spark):
+    given = {r["doc_id"]: r["text"] for r in table(spark, SF_LARGER, "documents").collect()}
+    rows = [r for r in queries.op7_quality_rules(spark, SF_LARGER).collect() if not r["base_failed"]]
+    votes = [tuple(v) for v in quality_rules.rule_votes(quality_rules.text_counts([given[r["doc_id"]] for r in rows])).tolist()]
+    for r, p in zip(rows, plain.label_model(votes), strict=True):
+        assert abs(r["posterior"] - p) < 1e-6 and r["kept"] == (p >= 0.5)
+    assert any(min(v) < 0 and r["kept"] for v, r in zip(votes, rows, strict=True))  # not the rule that all must pass
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, SF_LARGER, "labels").collect()}
+    kept = {y: np.mean([r["kept"] for r in rows if labels.get(r["doc_id"]) == y]) for y in (0, 1)}
+    assert kept[1] > 0.97 and kept[0] < 0.1
+
+
+def test_rules_with_clashing_columns(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text), (None, None)], "doc_id long, text string")
+    for c in ("pattern", "posterior", "kept", "base_failed", "n_words"):
+        df = df.withColumn(c, F.lit("x"))
+    assert sorted((str(r["doc_id"]), r["kept"]) for r in quality_rules.judged(df).collect()) == [("1", True), ("None", False)]
+
+
 def test_rules_defined_cases(spark):
     good = " ".join(f"word{i}" for i in range(60))
     docs = [(1, None), (2, ""), (3, good), (3, good), (None, good)]
