@@ -25,8 +25,9 @@ table gives an empty result; columns besides id, url and html are not read.
 
 Pages are parsed once to find subtrees and the text that names alone would leave, and again only
 where a template lies in that text. Each host, page and subtree goes through the shuffle as a few
-numbers. A page is joined with the templates that it holds itself, not with those of its host, so
-that rows stay as small as pages on a host with very many templates.
+numbers; texts stay where they are, but for those that are made again. A page is joined with the
+templates in its own text, not with those of its host, so that rows stay as small as pages on a
+host with very many templates.
 """
 
 from __future__ import annotations
@@ -320,48 +321,50 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
+def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """id, url, host (64 bits of a hash), two keys of 64 bits of host and html, and html."""
+    html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
+    host = host_of(url)
+    keys = [F.xxhash64(F.lit(k), host, html).alias(name) for k, name in ((0, "key"), (1, "key2"))]
+    return pages.select(F.col(id_col).alias("id"), url.alias("url"), F.xxhash64(host).alias("host"), *keys, html.alias("html"))
+
+
 def first_look(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Per row: id, url, host, key (of the html), text without regard to templates, page (which copies share), hashes, and those inside the text."""
+    """Per row: id, url, host, keys, text without regard to templates, page (which copies share), hashes, and those inside the text."""
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [evidence(x or "") for x in batch.column(4).to_pylist()]
+            found = [evidence(x or "") for x in batch.column(5).to_pylist()]
             lists = [pa.array([[0, *x[2]] for x in found], pa.list_(pa.int64())), pa.array([list(x[3]) for x in found], pa.list_(pa.int64()))]  # 0 counts the page
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()), *lists], names=["id", "url", "host", "key", "text", "page", "hashes", "inside"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.int64()), *lists], names=["id", "url", "host", "key", "key2", "text", "page", "hashes", "inside"])
 
-    html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), F.md5(F.coalesce(html, F.lit(""))).alias("key"), html.alias("html"))
-    return rows.mapInArrow(run, f"id {id_type}, url string, host string, key string, text string, page long, hashes array<long>, inside array<long>")
+    return _keyed(pages, id_col, url_col, html_col).mapInArrow(run, f"id {id_type}, url string, host long, key long, key2 long, text string, page long, hashes array<long>, inside array<long>")
 
 
-def page_templates(look: DataFrame, config: HtmlConfig = HtmlConfig()) -> DataFrame:
-    """Per host and key of a page: ``templates``, the hashes of its subtrees that recur on many pages of the host."""
-    each = look.select("host", "key", "page", F.explode("hashes").alias("hash"))
-    counts = stored(each.groupBy("host", "hash", "page").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-counts")
+def host_templates(look: DataFrame, config: HtmlConfig = HtmlConfig()) -> DataFrame:
+    """host and hash of the subtrees that recur on many pages of a host."""
+    each = look.select("host", "page", F.explode("hashes").alias("hash")).distinct()
+    counts = stored(each.groupBy("host", "hash").agg(F.count("*").alias("n")).filter((F.col("hash") == 0) | (F.col("n") >= config.min_pages)), "html-counts")
     total = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
     many = counts.filter("hash <> 0").join(total, "host").filter(F.col("n") >= F.least(F.col("pages") * config.min_share, F.lit(config.most_pages)))
-    many = stored(many.select("host", "hash"), "html-templates")
-    return each.select("host", "key", "hash").join(many, ["host", "hash"]).groupBy("host", "key").agg(F.sort_array(F.collect_set("hash")).alias("templates"))
+    return stored(many.select("host", "hash"), "html-templates")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", config: HtmlConfig = HtmlConfig()) -> DataFrame:
-    """Per row: id, url, ``text`` and ``n_templates``, how many of the page's subtrees recur on its host."""
+    """Per row: id, url, ``text`` and ``by_template``, whether templates lie in what the names of elements leave."""
     look = stored(first_look(pages, id_col, url_col, html_col), "html-look")
-    own = stored(page_templates(look, config), "html-pages")
-    told = look.select("id", "url", "host", "key", "text", "inside").join(own, ["host", "key"], "left")
-    inside = F.coalesce(F.arrays_overlap("inside", "templates"), F.lit(False))
-    size = F.coalesce(F.size("templates"), F.lit(0)).cast("long").alias("n_templates")
-    stay = told.filter(~inside).select("id", "url", "text", size)
+    keys = ["host", "key", "key2"]
+    inside = look.filter(F.size("inside") > 0).select(*keys, F.explode("inside").alias("hash")).join(host_templates(look, config), ["host", "hash"])
+    again = stored(inside.groupBy(*keys).agg(F.sort_array(F.collect_set("hash")).alias("templates")), "html-again")
+    stay = look.join(again.select(*keys), keys, "left_anti").select("id", "url", "text", F.lit(False).alias("by_template"))
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(page, frozenset(h)) for page, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), batch.column(4)], names=["id", "url", "text", "n_templates"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
-    again = stored(look.select("host", "key", "inside").join(own, ["host", "key"]).filter(inside).select("host", "key", "templates").dropDuplicates(["host", "key"]), "html-again")
-    html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).alias("id"), url.alias("url"), html.alias("html"), host_of(url).alias("host"), F.md5(F.coalesce(html, F.lit(""))).alias("key"))
-    changed = rows.join(again, ["host", "key"]).select("id", "url", "html", "templates", size).mapInArrow(run, f"id {id_type}, url string, text string, n_templates long")
-    return stay.unionByName(changed).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_templates")
+    rows = _keyed(pages, id_col, url_col, html_col).join(again, keys).select("id", "url", "html", "templates")
+    changed = rows.mapInArrow(run, f"id {id_type}, url string, text string").withColumn("by_template", F.lit(True))
+    return stay.unionByName(changed).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "by_template")

@@ -19,7 +19,7 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_extract.extracted(table(spark, sf_dir, "pages"))
-    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_templates")
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "by_template")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

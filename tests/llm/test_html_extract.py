@@ -81,8 +81,8 @@ def test_templates_by_shape(spark):
     found = {r["page_id"]: r for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(30):  # other words on every page, alike shapes; the quote recurs inside the story
         lines = found[i]["text"].split("\n")
-        assert len(lines) == 3 and lines[0].startswith(f"{i} ") and found[i]["n_templates"] >= 3
-    assert all(len(found[100 + i]["text"].split("\n")) > 5 and found[100 + i]["n_templates"] == 0 for i in range(4))
+        assert found[i]["by_template"] and len(lines) == 3 and lines[0].startswith(f"{i} ")
+    assert all(len(found[100 + i]["text"].split("\n")) > 5 and not found[100 + i]["by_template"] for i in range(4))
 
 
 def test_templates_alone_find_most_texts():
