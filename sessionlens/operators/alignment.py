@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.flags import BIT, any_of, flag_if, mask
+from ..functions.flags import any_of, flag_if, mask
 from .intervals import KEYS, overlap_join
 
 
@@ -50,8 +50,8 @@ def speaker_scores(transcript: DataFrame, diarization: DataFrame, config: Alignm
 def elected(transcript: DataFrame, diarization: DataFrame, config: AlignmentConfig = AlignmentConfig()) -> DataFrame:
     """One row a transcript segment: maps of the speakers' figures, the winner, its confidence, and flags.
 
-    The highest score wins, the smallest speaker id of equals (with a flag). The confidence is
-    null without any overlap.
+    The highest score wins, the smallest speaker id of equals (with a flag). The confidence is the
+    winner's share of all scores, null without any overlap or if all scores are 0.
     """
     scores = speaker_scores(transcript, diarization, config)
     each = F.collect_list(F.struct("speaker_id", "overlap_seconds", "longest_seconds", "parts", "score", "diarization_segment_ids"))
@@ -59,6 +59,7 @@ def elected(transcript: DataFrame, diarization: DataFrame, config: AlignmentConf
     best = F.array_max(F.transform("s", lambda x: x["score"]))
     winner = F.filter("s", lambda x: x["score"] == F.col("best"))
     total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x["overlap_seconds"])
+    scores_sum = F.aggregate("s", F.lit(0.0), lambda a, x: a + x["score"])
     table = lambda field: F.map_from_entries(F.transform("s", lambda x: F.struct(x["speaker_id"], x[field])))
     rows = transcript.select("session_id", F.col("segment_id").alias("transcript_segment_id")).join(found, ["session_id", "transcript_segment_id"], "left")
     rows = rows.withColumn("s", F.coalesce("s", F.array().cast(found.schema["s"].dataType))).withColumn("best", best).withColumn("w", winner)
@@ -78,9 +79,6 @@ def elected(transcript: DataFrame, diarization: DataFrame, config: AlignmentConf
         "total_overlap_seconds",
         F.coalesce(F.col("winner.overlap_seconds"), F.lit(0.0)).alias("winning_overlap_seconds"),
         F.coalesce(F.col("winner.score"), F.lit(0.0)).alias("winning_evidence_score"),
-        F.when(F.col("total_overlap_seconds") != 0, F.col("winner.overlap_seconds") / F.col("total_overlap_seconds")).alias("speaker_confidence"),
+        F.when(scores_sum != 0, F.col("winner.score") / scores_sum).alias("speaker_confidence"),
         flags.alias("flags"),
     )
-
-
-NEIGHBOUR_BIT = BIT["ADJACENT_INFORMATION_RATE_ANOMALY"]

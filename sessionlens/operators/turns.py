@@ -14,12 +14,12 @@ MAX_SILENCE = 5.0
 def turn_numbers(rows: DataFrame, order: tuple[str, ...], speaker: str = "speaker_id", start: str = "start_seconds", end: str = "end_seconds", max_silence: float = MAX_SILENCE, strict: bool = False) -> DataFrame:
     """Add ``turn_id``, from 1 for each session, over rows in the given order.
 
-    A row begins a turn if its speaker is another (null counts as one) or if it starts more
+    A row begins a turn if its speaker is another or unknown, or if it starts more
     than ``max_silence`` after the latest end so far (``strict``: that much or more). The
     latest end may be taken over the speaker's whole run: a row after a pause ends later.
     """
     by = Window.partitionBy(*KEYS).orderBy(*order)
-    change = F.when(F.col(speaker).eqNullSafe(F.lag(speaker).over(by)) & (F.row_number().over(by) > 1), 0).otherwise(1)
+    change = F.when(F.col(speaker) == F.lag(speaker).over(by), 0).otherwise(1)
     runs = rows.withColumn("_run", change)
     runs = runs.withColumn("_run", F.sum("_run").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     inside = Window.partitionBy(*KEYS, "_run").orderBy(*order)
@@ -33,14 +33,17 @@ def turn_numbers(rows: DataFrame, order: tuple[str, ...], speaker: str = "speake
 def consolidated(matches: DataFrame, transcript: DataFrame, diarization: DataFrame, max_silence: float = MAX_SILENCE) -> DataFrame:
     """Turns from elected segments. Transcript segments without a speaker segment are left out.
 
-    A segment's time is that of its matched speaker segments. Texts are joined in order, the
-    confidence is weighted by the winner's overlap (a null one counts as 0), and the evidence
-    ratio is the union of the speaker segments over the turn's length.
+    A segment's time is that of its matched speaker segments, and its flags are those of its match,
+    its text and its speaker segments. Texts are joined in order, the confidence is weighted by the
+    winner's overlap (a null one counts as 0), and the evidence ratio is the union of the winner's
+    own speaker segments over the turn's length.
     """
     used = matches.filter(F.size("diarization_segment_ids") > 0)
     links = used.select("session_id", "transcript_segment_id", F.posexplode("diarization_segment_ids").alias("pos", "segment_id"))
-    spans = links.join(diarization.select("session_id", "segment_id", "start_seconds", "end_seconds"), ["session_id", "segment_id"])
-    times = spans.groupBy("session_id", "transcript_segment_id").agg(F.min("start_seconds").alias("start_seconds"), F.max("end_seconds").alias("end_seconds"))
+    marks = F.col("flags") if "flags" in diarization.columns else F.lit(0).cast("long")
+    spans = links.join(diarization.select("session_id", "segment_id", "speaker_id", "start_seconds", "end_seconds", marks.alias("segment_flags")), ["session_id", "segment_id"])
+    each = F.struct("pos", "segment_id", "speaker_id", "start_seconds", "end_seconds")
+    times = spans.groupBy("session_id", "transcript_segment_id").agg(F.min("start_seconds").alias("start_seconds"), F.max("end_seconds").alias("end_seconds"), F.bit_or("segment_flags").alias("segment_flags"), F.collect_list(each).alias("spans"))
     words = transcript.select("session_id", F.col("segment_id").alias("transcript_segment_id"), F.col("start_seconds").alias("ord"), F.col("text"), F.col("flags").alias("text_flags"))
     rows = used.join(times, ["session_id", "transcript_segment_id"]).join(words, ["session_id", "transcript_segment_id"])
     rows = turn_numbers(rows, ("ord", "transcript_segment_id"), "probable_speaker_id", max_silence=max_silence)
@@ -51,14 +54,15 @@ def consolidated(matches: DataFrame, transcript: DataFrame, diarization: DataFra
         F.min("start_seconds").alias("start_seconds"),
         F.max("end_seconds").alias("end_seconds"),
         parts.alias("parts"),
-        F.bit_or(F.col("flags").bitwiseOR(F.col("text_flags"))).alias("flags"),
+        F.bit_or(F.col("flags").bitwiseOR(F.col("text_flags")).bitwiseOR(F.col("segment_flags"))).alias("flags"),
         F.sum(F.coalesce("speaker_confidence", F.lit(0.0)) * weight).alias("_c"),
         F.sum(weight).alias("_w"),
     )
-    inside = rows.select("session_id", "turn_id", "ord", "transcript_segment_id").join(spans, ["session_id", "transcript_segment_id"])
-    once = inside.groupBy("session_id", "turn_id", "segment_id").agg(F.min(F.struct("ord", "transcript_segment_id", "pos")).alias("seen"), F.first("start_seconds").alias("start_seconds"), F.first("end_seconds").alias("end_seconds"))
+    inside = rows.select("session_id", "turn_id", "ord", "transcript_segment_id", "probable_speaker_id", F.inline("spans"))
+    own = F.max(F.col("speaker_id") == F.col("probable_speaker_id")).alias("own")
+    once = inside.groupBy("session_id", "turn_id", "segment_id").agg(F.min(F.struct("ord", "transcript_segment_id", "pos")).alias("seen"), own, F.first("start_seconds").alias("start_seconds"), F.first("end_seconds").alias("end_seconds"))
     ids = once.groupBy("session_id", "turn_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seen", "segment_id"))), lambda x: x["segment_id"]).alias("diarization_segment_ids"))
-    covered = union_seconds(once, ("session_id", "turn_id"))
+    covered = union_seconds(once.filter("own"), ("session_id", "turn_id"))
     out = turns.join(ids, ["session_id", "turn_id"]).join(covered, ["session_id", "turn_id"], "left")
     length = F.col("end_seconds") - F.col("start_seconds")
     return out.select(

@@ -28,7 +28,7 @@ def interval_overlap_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SCORES = """ sc AS (SELECT session_id, a_id, speaker_id, sum(o) AS total, max(o) AS longest, count(*) AS n,
-      round(greatest(0, sum(o) + 0.5 * max(o) - 0.1 * greatest(0, count(*) - 1)), 6) AS score FROM pr WHERE o > 0 GROUP BY ALL)"""
+      greatest(0, sum(o) + 0.5 * max(o) - 0.1 * greatest(0, count(*) - 1)) AS raw, round(raw, 6) AS score FROM pr WHERE o > 0 GROUP BY ALL)"""
 
 
 @query("speaker_scores", f"WITH {SEGMENTS_SQL}, {_PAIRS}, {_SCORES} SELECT session_id, a_id AS transcript_segment_id, speaker_id, round(total, 6) AS overlap_seconds, round(longest, 6) AS longest_seconds, CAST(n AS INTEGER) AS parts, score FROM sc")
@@ -40,8 +40,8 @@ def speaker_scores(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "speaker_election",
     f"""WITH {SEGMENTS_SQL}, {_PAIRS}, {_SCORES},
-    w AS (SELECT *, row_number() OVER (PARTITION BY session_id, a_id ORDER BY score DESC, speaker_id) AS r, sum(total) OVER (PARTITION BY session_id, a_id) AS all_s, count(*) OVER (PARTITION BY session_id, a_id) AS speakers FROM sc)
-    SELECT t.session_id, t.segment_id AS transcript_segment_id, w.speaker_id AS probable_speaker_id, round(w.total / w.all_s, 6) AS speaker_confidence, CAST(coalesce(w.speakers, 0) AS INTEGER) AS speakers,
+    w AS (SELECT *, row_number() OVER (PARTITION BY session_id, a_id ORDER BY score DESC, speaker_id) AS r, sum(raw) OVER (PARTITION BY session_id, a_id) AS all_s, count(*) OVER (PARTITION BY session_id, a_id) AS speakers FROM sc)
+    SELECT t.session_id, t.segment_id AS transcript_segment_id, w.speaker_id AS probable_speaker_id, round(w.raw / nullif(w.all_s, 0), 6) AS speaker_confidence, CAST(coalesce(w.speakers, 0) AS INTEGER) AS speakers,
       round(coalesce(w.score, 0), 6) AS score FROM tr t LEFT JOIN w ON t.session_id = w.session_id AND t.segment_id = w.a_id AND w.r = 1""",
 )
 def speaker_election(spark: SparkSession, d: str) -> DataFrame:
@@ -236,21 +236,33 @@ def run_collapse(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("session_id", "turn_id").agg(F.min("speaker_id").alias("speaker_id"), F.min("start_seconds").alias("start_seconds"), F.count("*").alias("segments"), F.array_join(ids, ",").alias("segment_ids"))
 
 
-@query(
-    "turns_from_alignment",
-    f"""WITH {SEGMENTS_SQL}, {_PAIRS}, {_SCORES}, w AS (SELECT *, row_number() OVER (PARTITION BY session_id, a_id ORDER BY score DESC, speaker_id) AS rk FROM sc),
-    h AS (SELECT p.session_id, p.a_id, w.speaker_id AS spk, w.total AS weight, min(p.b_start) AS s, max(p.b_end) AS e, max(p.a_start) AS ord, max(p.a_end) AS oe FROM pr p JOIN w ON p.session_id = w.session_id AND p.a_id = w.a_id AND w.rk = 1 WHERE p.o > 0 GROUP BY ALL),
+_TURNS = """ w AS (SELECT *, row_number() OVER (PARTITION BY session_id, a_id ORDER BY score DESC, speaker_id) AS rk, sum(raw) OVER (PARTITION BY session_id, a_id) AS all_s, count(*) OVER (PARTITION BY session_id, a_id) AS speakers FROM sc),
+    h AS (SELECT p.session_id, p.a_id, w.speaker_id AS spk, w.total AS weight, max(coalesce(w.raw / nullif(w.all_s, 0), 0)) AS conf, min(p.b_start) AS s, max(p.b_end) AS e, max(p.a_start) AS ord,
+      bit_or(CASE WHEN p.b_id % 3 = 0 THEN 1073741824::BIGINT ELSE 0 END) | max(CASE WHEN p.a_id % 4 = 0 THEN 2::BIGINT ELSE 0 END) | max(CASE WHEN w.speakers > 1 THEN 2147483648::BIGINT ELSE 0 END) AS fl
+      FROM pr p JOIN w ON p.session_id = w.session_id AND p.a_id = w.a_id AND w.rk = 1 WHERE p.o > 0 GROUP BY ALL),
     t0 AS (SELECT *, CASE WHEN spk = lag(spk) OVER (PARTITION BY session_id ORDER BY ord, a_id) THEN 0 ELSE 1 END AS ch FROM h),
     t1 AS (SELECT *, sum(ch) OVER (PARTITION BY session_id ORDER BY ord, a_id ROWS UNBOUNDED PRECEDING) AS run FROM t0),
     t2 AS (SELECT *, max(e) OVER (PARTITION BY session_id, run ORDER BY ord, a_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM t1),
-    t3 AS (SELECT *, sum(CASE WHEN latest IS NULL OR s - latest > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY ord, a_id ROWS UNBOUNDED PRECEDING) AS turn_id FROM t2)
-    SELECT session_id, CAST(turn_id AS BIGINT) AS turn_id, min(spk) AS speaker_id, min(s) AS start_seconds, max(e) AS end_seconds, string_agg('t' || a_id, ' ' ORDER BY ord, a_id) AS text FROM t3 GROUP BY session_id, turn_id""",
+    t3 AS (SELECT *, sum(CASE WHEN latest IS NULL OR s - latest > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY ord, a_id ROWS UNBOUNDED PRECEDING) AS turn_id FROM t2),
+    o0 AS (SELECT DISTINCT t3.session_id, turn_id, b_id, b_start, b_end FROM t3 JOIN pr p ON p.session_id = t3.session_id AND p.a_id = t3.a_id AND p.o > 0 AND p.speaker_id = t3.spk),
+    o1 AS (SELECT *, max(b_end) OVER (PARTITION BY session_id, turn_id ORDER BY b_start, b_end, b_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far FROM o0),
+    o2 AS (SELECT session_id, turn_id, sum(greatest(0, b_end - greatest(b_start, coalesce(so_far, b_start)))) AS own FROM o1 GROUP BY ALL)"""
+
+
+@query(
+    "turns_from_alignment",
+    f"""WITH {SEGMENTS_SQL}, {_PAIRS}, {_SCORES}, {_TURNS}
+    SELECT t3.session_id, CAST(t3.turn_id AS BIGINT) AS turn_id, min(spk) AS speaker_id, min(s) AS start_seconds, max(e) AS end_seconds, string_agg('t' || a_id, ' ' ORDER BY ord, a_id) AS text, bit_or(fl) AS flags,
+      round(CASE WHEN sum(weight) > 0 THEN sum(conf * weight) / sum(weight) ELSE 0 END, 6) AS speaker_confidence, round(CASE WHEN max(e) > min(s) THEN least(1, max(own) / (max(e) - min(s))) ELSE 0 END, 6) AS speaker_evidence_ratio
+    FROM t3 JOIN o2 ON o2.session_id = t3.session_id AND o2.turn_id = t3.turn_id GROUP BY t3.session_id, t3.turn_id""",
 )
 def turns_from_alignment(spark: SparkSession, d: str) -> DataFrame:
     said, speakers = transcript(spark, d), diarization(spark, d)
-    said = said.withColumns({"text": F.concat(F.lit("t"), F.col("segment_id")), "flags": F.lit(0).cast("long")})
-    rows = turns.consolidated(alignment.elected(said, speakers), said, speakers)
-    return rows.select("session_id", "turn_id", "speaker_id", "start_seconds", "end_seconds", "text")
+    bit = lambda every, value: F.when(F.col("segment_id") % every == 0, F.lit(value)).otherwise(0).cast("long")
+    said = said.withColumns({"text": F.concat(F.lit("t"), F.col("segment_id")), "flags": bit(4, 2)})
+    rows = turns.consolidated(alignment.elected(said, speakers), said, speakers.withColumn("flags", bit(3, 1 << 30)))
+    shown = F.col("flags").bitwiseAND(~(1 << 33)).alias("flags")  # equal scores depend on the last bit of a sum
+    return rows.select("session_id", "turn_id", "speaker_id", "start_seconds", "end_seconds", "text", shown, *[F.round(c, 6).alias(c) for c in ("speaker_confidence", "speaker_evidence_ratio")])
 
 
 @query("timeline_states")
