@@ -7,6 +7,7 @@ much, the partial ratios (0.9 or 0.6), after the published definition of weighte
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
@@ -97,9 +98,51 @@ def name_score(query: str | None, known: str | None, least_token: float = 65.0)
     return wratio(query, known) if tokens_agree(query, known, least_token) else 0.0
 
 
-@F.pandas_udf(DoubleType())
-def name_scores(query: pd.Series, known: pd.Series) -> pd.Series:
-    return pd.Series([name_score(q, k) for q, k in zip(query, known, strict=True)])
+class Names:
+    """Known names, in order, to resolve queries against. All are normalised."""
+
+    def __init__(self, names: list[str]):
+        self.first: dict[str, int] = {}
+        self.often = Counter(names)
+        for k, name in enumerate(names):
+            self.first.setdefault(name, k)
+        self.letters = [(name, Counter(name), set(name.split())) for name in self.first]
+
+    def _bounds(self, query: str) -> list[tuple[float, int]]:
+        """What each score can be at most, from the letters in common (any, with a word in common); dearest first."""
+        own, words = Counter(query), set(query.split())
+        out = []
+        for k, (name, letters, parts) in enumerate(self.letters):
+            common = sum(min(n, letters[c]) for c, n in own.items())
+            out.append((100.0 if words & parts else 200.0 * common / (common + min(len(query), len(name)) or 1), k))
+        return sorted(out, key=lambda x: (-x[0], x[1]))
+
+    def closest(self, query: str) -> tuple[int | None, float]:
+        """Place and score of the best name by wratio, the first of equals. Names that cannot win are not compared."""
+        best, found = -1.0, None
+        for most, k in self._bounds(query):
+            if most + 1e-6 < best:
+                break
+            score = wratio(query, self.letters[k][0])
+            if score > best or score == best and k < found:
+                best, found = score, k
+        return (None, 0.0) if found is None else (self.first[self.letters[found][0]], best)
+
+    def resolved(self, query: str | None, least: float, least_token: float = 65.0) -> tuple[int | None, float]:
+        """Place of the name that a query means, or None, and its score.
+
+        A query of one word means a name only if it is the whole of just one. Others mean the closest
+        name, if it is close enough and its tokens agree; the score stays if they don't.
+        """
+        if not query or not self.first:
+            return None, 0.0
+        if " " not in query:
+            return (self.first[query], 100.0) if self.often[query] == 1 else (None, 0.0)
+        place, score = self.closest(query)
+        if place is None:
+            return None, 0.0
+        name = next(n for n, k in self.first.items() if k == place)
+        return (place if score >= least and tokens_agree(query, name, least_token) else None), score
 
 
 @F.pandas_udf(DoubleType())

@@ -9,8 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-CALL_PATTERNS = ("la parole est à", "la parole est a", "la parole à")
-CHAIR_PATTERNS = ("la parole est à", "la séance est ouverte", "la séance est levée", "la séance est suspendue", "la séance est reprise", "je mets aux voix", "l'ordre du jour appelle", "la discussion est close", "veuillez conclure", "mes chers collègues")
+# Phrases that hand over to a speaker.
+CALL_PATTERNS = ("la parole est à", "je donne la parole à", "vous avez la parole")
+# Phrases that only the chair says.
+CHAIR_PATTERNS = (
+    "la parole est à",
+    "je donne la parole à",
+    "vous avez la parole",
+    "la séance est ouverte",
+    "la séance est levée",
+    "l'ordre du jour appelle",
+    "le scrutin est ouvert",
+    "le scrutin est clos",
+    "je vais mettre aux voix",
+    "je mets aux voix",
+)
 MONTHS = ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre")
 
 
@@ -95,22 +108,41 @@ def french_date(stem: Column) -> Column:
     return F.when((part(1) != "") & (month > 0), F.try_to_date(text, "yyyy-MM-dd"))
 
 
+# Months as file names spell them, with and without accents.
+MONTH_NUMBERS = {
+    **{name: k for k, name in enumerate(MONTHS, 1)},
+    "fevrier": 2,
+    "aout": 8,
+    "decembre": 12,
+}
+#: Dates in a stem, in the order in which they are tried: ISO, eight digits, French.
+ISO_DATE = r"(?<!\d)(\d{4})-(\d{2})-(\d{2})(?!\d)"
+COMPACT_DATE = r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)"
+FRENCH_DATE = rf"(?iu)(?<!\d)(\d{{1,2}})[-_ ]+({'|'.join(sorted(MONTH_NUMBERS, key=len, reverse=True))})[-_ ]+(\d{{4}})(?!\d)"
+
+
+def _date_text(stem: Column) -> Column:
+    """The part of a stem that is its date; '' without one."""
+    iso, compact, french = (F.regexp_extract(stem, p, 0) for p in (ISO_DATE, COMPACT_DATE, FRENCH_DATE))
+    return F.when(iso != "", iso).when(compact != "", compact).otherwise(french)
+
+
 def stem_date(stem: Column) -> Column:
     """ISO date text found in a stem: ISO form, else eight digits, else French; not checked against the calendar."""
-    iso = F.regexp_extract(stem, r"(?<!\d)(\d{4}-\d{2}-\d{2})(?!\d)", 1)
-    compact = F.regexp_extract(stem, r"(?<!\d)(\d{8})(?!\d)", 1)
-    part = lambda k: F.regexp_extract(stem, r"(?<!\d)(\d{1,2})-([a-zéû]+)-(\d{4})(?!\d)", k)
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), part(2)).cast("int")
-    french = F.when(month > 0, F.format_string("%s-%02d-%02d", part(3), month, part(1).cast("int")))
-    dashed = F.concat_ws("-", F.substring(compact, 1, 4), F.substring(compact, 5, 2), F.substring(compact, 7, 2))
-    return F.when(iso != "", iso).when(compact != "", dashed).otherwise(french)
+    part = lambda p, k: F.regexp_extract(stem, p, k)
+    numbers = F.create_map(*[F.lit(x) for pair in MONTH_NUMBERS.items() for x in pair])
+    month = F.element_at(numbers, F.lower(part(FRENCH_DATE, 2)))
+    french = F.when(month.isNotNull(), F.format_string("%s-%02d-%02d", part(FRENCH_DATE, 3), month, part(FRENCH_DATE, 1).cast("int")))
+    plain = lambda p: F.concat_ws("-", part(p, 1), part(p, 2), part(p, 3))
+    return F.when(part(ISO_DATE, 0) != "", plain(ISO_DATE)).when(part(COMPACT_DATE, 0) != "", plain(COMPACT_DATE)).otherwise(french)
 
 
 def slug_of(stem: Column) -> Column:
-    """Lower-case ASCII slug of a stem without its date; "session" if nothing is left."""
-    bare = F.regexp_replace(F.regexp_replace(stem, r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)", ""), r"(?<!\d)\d{8}(?!\d)", "")
-    bare = F.regexp_replace(bare, rf"(?<!\d)\d{{1,2}}-(?:{'|'.join(MONTHS)})-\d{{4}}(?!\d)", "")
-    plain = F.regexp_replace(F.lower(without_accents(bare)), r"[^a-z0-9]+", "-")
+    """Lower-case ASCII slug of a stem without the text of its date; "session" if nothing is left."""
+    found = _date_text(stem)
+    bare = F.when(found != "", F.replace(stem, found, F.lit(" "))).otherwise(stem)
+    ascii_only = F.regexp_replace(without_accents(bare), r"[^\x00-\x7F]", "")
+    plain = F.regexp_replace(F.lower(ascii_only), r"[^a-z0-9]+", "-")
     plain = F.regexp_replace(plain, r"^-+|-+$", "")
     return F.when(plain == "", F.lit("session")).otherwise(plain)
 

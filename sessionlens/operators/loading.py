@@ -137,7 +137,11 @@ def session_row(runs: DataFrame) -> DataFrame:
     return runs.withColumn("title", title_of(F.col("slug")))
 
 
+# Sources that older documents use without evidence of the turn itself.
+OLD_SOURCES = ("inferred_from_next_speaker", "inferred_from_previous_speaker")
+
+
 def remapped_source(source: Column, evidence: Column) -> Column:
-    """Names of sources that older documents use for a speaker's majority."""
-    old = source.isin("majority_speaker_cluster", "speaker_cluster_majority")
+    """The source of a turn's speaker; an old one without evidence is a speaker's majority."""
+    old = source.isin(*OLD_SOURCES)
     return F.when(old & (F.coalesce(F.size(evidence), F.lit(0)) <= 0), "propagated_from_speaker_cluster").otherwise(source)

@@ -87,14 +87,24 @@ def people(spark: SparkSession, path: str, order: int = 0) -> DataFrame:
     return raw.mapInPandas(run, ", ".join(f"`{h}` string" for h in header) + ", src_order long")
 
 
-def known_people(spark: SparkSession, *paths: str) -> DataFrame:
-    """Several lists after each other: id, name, role, kind, src_order."""
-    from ..operators.identity import person_kind
+def known_people(spark: SparkSession, deputies: str | None = None, ministers: str | None = None) -> DataFrame:
+    """The lists of deputies and of ministers after each other: id, name, role, kind, src_order.
+
+    All on the first list are deputies; on the second, the prefix of the identifier says the kind.
+    A deputy's role is that of the deputy, another's is the profession, null if it is empty.
+    """
+    from ..operators.identity import DEPUTY_ROLE, person_kind
 
     out = None
-    for k, path in enumerate(paths):
+    for k, path in enumerate((deputies, ministers)):
+        if path is None:
+            continue
         rows = people(spark, path, k)
-        rows = rows.select(F.col("identifiant").alias("id"), F.concat_ws(" ", F.trim("Prénom"), F.trim("Nom")).alias("name"), F.col("Profession").alias("role"), person_kind(F.col("identifiant")).alias("kind"), "src_order")
+        ident = F.trim("identifiant")
+        kind = F.lit("deputy") if k == 0 else person_kind(ident)
+        work = F.trim("Profession")
+        role = F.when(kind == "deputy", F.lit(DEPUTY_ROLE)).when(work != "", work)
+        rows = rows.select(ident.alias("id"), F.trim(F.concat_ws(" ", "Prénom", "Nom")).alias("name"), role.alias("role"), kind.alias("kind"), "src_order")
         out = rows if out is None else out.unionByName(rows)
     return out
 
