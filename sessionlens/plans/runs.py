@@ -14,8 +14,8 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from pathlib import Path
 
-from ..functions.text import MONTHS
-from ..sources.sinks import move_file, save_json
+from ..functions.text import COMPACT_DATE, FRENCH_DATE, ISO_DATE, MONTH_NUMBERS
+from ..sources.sinks import move_file, new_folder, save_json
 
 STAGES = ("vad", "diarization", "transcription", "audio_audit", "segment_audit", "alignment", "turns", "person_extraction", "semantic_chunks", "tables")
 
@@ -24,17 +24,23 @@ def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="seconds")
 
 
+def _dated(stem: str) -> tuple[str | None, str]:
+    """The date in a stem, and the text that says it."""
+    for pattern in (ISO_DATE, COMPACT_DATE):
+        if m := re.search(pattern, stem):
+            return "-".join(m.groups()), m[0]
+    if m := re.search(FRENCH_DATE, stem):
+        return f"{m[3]}-{MONTH_NUMBERS[m[2].lower()]:02d}-{int(m[1]):02d}", m[0]
+    return None, ""
+
+
 def stem_date(stem: str) -> str | None:
-    if m := re.search(r"(?<!\d)(\d{4}-\d{2}-\d{2})(?!\d)", stem):
-        return m[1]
-    if m := re.search(r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", stem):
-        return "-".join(m.groups())
-    m = re.search(r"(?<!\d)(\d{1,2})-([a-zéû]+)-(\d{4})(?!\d)", stem)
-    return f"{m[3]}-{MONTHS.index(m[2]) + 1:02d}-{int(m[1]):02d}" if m and m[2] in MONTHS else None
+    return _dated(stem)[0]
 
 
 def slug(stem: str) -> str:
-    bare = re.sub(rf"(?<!\d)(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}}|\d{{1,2}}-(?:{'|'.join(MONTHS)})-\d{{4}})(?!\d)", "", stem)
+    said = _dated(stem)[1]
+    bare = stem.replace(said, " ") if said else stem
     plain = unicodedata.normalize("NFKD", bare).encode("ascii", "ignore").decode().lower()
     return re.sub(r"[^a-z0-9]+", "-", plain).strip("-") or "session"
 
@@ -61,7 +67,7 @@ class Run:
         source = Path(source)
         sha = file_hash(source)
         name = f"{(today or date.today()).isoformat()}_{stem_date(source.stem) or 'no-date'}_{slug(source.stem)}_{sha[:8]}"
-        run = cls(source, Path(runs) / name, sha)
+        run = cls(source, new_folder(Path(runs) / name), sha)
         run.manifest = {"schema_version": "1", "status": "running", "created_at": now(), "source": {"file": source.name, "sha256": sha, "date": stem_date(source.stem), "slug": slug(source.stem)}, "stages": []}
         run.save()
         save_json(config or {}, run.folder / "config.json")
