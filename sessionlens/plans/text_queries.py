@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import flags, text
@@ -10,21 +10,6 @@ from ..functions.fuzzy import weighted_ratio
 from ..sources.adapters import table
 from .registry import query
 
-_STEMS = [
-    "session-2026-06-19-title",
-    "20260619_qag_simplification",
-    "1ere-seance-14-avril-2026",
-    "1ere-seance--questions-au-gouvernement-9-juin-2026",
-    "2eme-seance-31-décembre-2025",
-    "plain session",
-]
-_NAMES = ["  Élodie   Députée  ", "Yaël Braun-Pivet", "FRANÇOIS  Ruffin", "Ærøskøbing", "Zoë Ñandú"]
-
-
-def _values(items: list[str], name: str) -> str:
-    return "(VALUES " + ", ".join("('" + x.replace("'", "''") + "')" for x in items) + f") AS v({name})"
-
-
 _SPLIT = r"list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> '')"
 
 
@@ -42,46 +27,52 @@ def text_shape(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.count_chars(t).alias("chars"), text.count_words(t).alias("words"), text.count_bytes(t).alias("bytes"))
 
 
-@query("normalize_name", f"SELECT name, trim(regexp_replace(strip_accents(lower(name)), '\\s+', ' ', 'g')) AS normalized FROM {_values([n for n in _NAMES if 'Æ' not in n], 'name')}")
+@query("normalize_name", r"SELECT c_custkey, name, trim(regexp_replace(strip_accents(lower(name)), '\s+', ' ', 'g')) AS normalized FROM (SELECT c_custkey, c_name || '  ' || n_name || '  É' || c_mktsegment || ' ñ Ærøskøbing ' AS name FROM customer JOIN nation ON c_nationkey = n_nationkey)")
 def normalize_name(spark: SparkSession, d: str) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n in _NAMES if "Æ" not in n], "name string")
-    return names.select("name", text.normalize_name(F.col("name")).alias("normalized"))
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    name = F.concat("c_name", F.lit("  "), "n_name", F.lit("  É"), "c_mktsegment", F.lit(" ñ Ærøskøbing "))
+    return rows.select("c_custkey", name.alias("name")).withColumn("normalized", text.normalize_name(F.col("name")))
 
 
-@query("french_words_normalized", r"SELECT doc_id, regexp_replace(strip_accents(lower(text)), '\s+', ' ', 'g') AS normalized FROM (SELECT doc_id, split_part(text, '.', 1) AS text FROM documents WHERE lang = 'fr')")
+@query("french_words_normalized", r"SELECT doc_id, regexp_replace(strip_accents(lower(text)), '\s+', ' ', 'g') AS normalized FROM documents WHERE lang = 'fr'")
 def french_words_normalized(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").filter("lang = 'fr'").withColumn("text", F.split_part("text", F.lit("."), F.lit(1)))
-    return rows.select("doc_id", F.regexp_replace(text.without_accents(F.lower("text")), r"\s+", " ").alias("normalized"))
-
-
-@query("french_texts_normalized")
-def french_texts_normalized(spark: SparkSession, d: str) -> DataFrame:
-    """The whole texts, which french_words_normalized reads up to the first full stop."""
     rows = table(spark, d, "documents").filter("lang = 'fr'")
     return rows.select("doc_id", F.regexp_replace(text.without_accents(F.lower("text")), r"\s+", " ").alias("normalized"))
 
 
+#: File stems from the days of events, in six forms; the SQL knows each stem's date from the event itself.
 _MONTHS = "['" + "','".join(text.MONTHS) + "']"
-_FR = f"regexp_extract(stem, '-(\\d{{1,2}})-([a-zéû]+)-(\\d{{4}})$', %d)"
+_PLAIN = "['" + "','".join({"février": "fevrier", "août": "aout", "décembre": "decembre"}.get(m, m) for m in text.MONTHS) + "']"
+_STEMS_SQL = f"""days AS (SELECT event_id, CAST(ts AS DATE) + CAST(event_id * 7 % 366 AS INTEGER) AS day, event_id % 6 AS form FROM events),
+    stems AS (SELECT *, CASE form WHEN 0 THEN 'Qag-' || strftime(day, '%Y-%m-%d') || '-suite' WHEN 1 THEN 'qag_' || strftime(day, '%Y%m%d') || '_suite'
+      WHEN 2 THEN 'QAG ' || day(day) || ' ' || {_MONTHS}[month(day)] || '  ' || year(day) || ' suitè' WHEN 3 THEN '2ème-seance--qag-' || day(day) || '-' || {_MONTHS}[month(day)] || '-' || year(day)
+      WHEN 4 THEN 'qag_' || day(day) || '_' || upper({_PLAIN}[month(day)]) || '_' || year(day) || '_n°3' ELSE 'Séance plénière n° 7' END AS stem FROM days)"""
 
 
-@query(
-    "french_date",
-    f"""WITH p AS (SELECT stem, {_FR % 1} AS d, {_FR % 2} AS m, {_FR % 3} AS y FROM {_values(_STEMS, 'stem')})
-    SELECT stem, CASE WHEN d <> '' AND list_position({_MONTHS}, m) > 0 THEN CAST(make_date(CAST(y AS BIGINT), list_position({_MONTHS}, m), CAST(d AS BIGINT)) AS VARCHAR) END AS day FROM p""",
-)
+def _stems(spark: SparkSession, d: str) -> DataFrame:
+    day = F.date_add(F.to_date(F.col("ts").cast("timestamp_ntz")), (F.col("event_id") * 7 % 366).cast("int"))
+    rows = table(spark, d, "events").select("event_id", day.alias("day"), (F.col("event_id") % 6).alias("form"))
+    name = lambda plain: F.element_at(F.array(*[F.lit({"février": "fevrier", "août": "aout", "décembre": "decembre"}.get(m, m) if plain else m) for m in text.MONTHS]), F.month("day"))
+    n, year, f = F.dayofmonth("day"), F.year("day"), F.col("form")
+    french = F.when(f == 2, F.concat(F.lit("QAG "), n, F.lit(" "), name(False), F.lit("  "), year, F.lit(" suitè"))).when(f == 3, F.concat(F.lit("2ème-seance--qag-"), n, F.lit("-"), name(False), F.lit("-"), year))
+    french = french.when(f == 4, F.concat(F.lit("qag_"), n, F.lit("_"), F.upper(name(True)), F.lit("_"), year, F.lit("_n°3"))).otherwise("Séance plénière n° 7")
+    stem = F.when(f == 0, F.concat(F.lit("Qag-"), F.date_format("day", "yyyy-MM-dd"), F.lit("-suite"))).when(f == 1, F.concat(F.lit("qag_"), F.date_format("day", "yyyyMMdd"), F.lit("_suite"))).otherwise(french)
+    return rows.select("event_id", "form", stem.alias("stem"))
+
+
+@query("french_date", f"WITH {_STEMS_SQL} SELECT event_id, stem, CASE WHEN form = 3 THEN strftime(day, '%Y-%m-%d') END AS day FROM stems")
 def french_date(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in _STEMS], "stem string").select("stem", text.french_date(F.col("stem")).cast("string").alias("day"))
+    return _stems(spark, d).select("event_id", "stem", text.french_date(F.col("stem")).cast("string").alias("day"))
 
 
-@query("stem_dates_and_slugs", "SELECT * FROM (VALUES ('session-2026-06-19-title','2026-06-19','session-title'),('20260619_qag_simplification','2026-06-19','qag-simplification'),('1ere-seance-14-avril-2026','2026-04-14','1ere-seance'),('1ere-seance--questions-au-gouvernement-9-juin-2026','2026-06-09','1ere-seance-questions-au-gouvernement'),('2eme-seance-31-décembre-2025','2025-12-31','2eme-seance'),('plain session',NULL,'plain-session')) AS v(stem, day, slug)")
+@query("stem_dates_and_slugs", f"WITH {_STEMS_SQL} SELECT event_id, stem, CASE WHEN form < 5 THEN strftime(day, '%Y-%m-%d') END AS day, ['qag-suite', 'qag-suite', 'qag-suite', '2eme-seance-qag', 'qag-n3', 'seance-pleniere-n-7'][form + 1] AS slug FROM stems")
 def stem_dates_and_slugs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in _STEMS], "stem string").select("stem", text.stem_date(F.col("stem")).alias("day"), text.slug_of(F.col("stem")).alias("slug"))
+    return _stems(spark, d).select("event_id", "stem", text.stem_date(F.col("stem")).alias("day"), text.slug_of(F.col("stem")).alias("slug"))
 
 
-@query("title_from_slug", "SELECT * FROM (VALUES ('session-2026-06-19-title','Session 2026 06 19 title'),('20260619_qag_simplification','20260619_qag_simplification'),('1ere-seance-14-avril-2026','1ere seance'),('1ere-seance--questions-au-gouvernement-9-juin-2026','1ere seance - questions au gouvernement'),('2eme-seance-31-décembre-2025','2eme seance'),('plain session','Plain session')) AS v(stem, title)")
+@query("title_from_slug", f"WITH {_STEMS_SQL} SELECT event_id, CASE form WHEN 0 THEN 'Qag ' || strftime(day, '%Y %m %d') || ' suite' WHEN 1 THEN 'Q' || substr(stem, 2) WHEN 2 THEN replace(stem, '  ', ' ') WHEN 3 THEN '2ème seance - qag' WHEN 4 THEN 'Q' || substr(stem, 2) ELSE stem END AS title FROM stems")
 def title_from_slug(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in _STEMS], "stem string").select("stem", text.title_of(F.col("stem")).alias("title"))
+    return _stems(spark, d).select("event_id", text.title_of(F.col("stem")).alias("title"))
 
 
 @query(
@@ -130,35 +121,49 @@ def clean_ratio(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d).agg(F.count("*").alias("n"), F.count_if(F.col("flags") == 0).alias("clean"), F.round(100.0 * F.count_if(F.col("flags") == 0) / F.count("*"), 2).alias("percent"))
 
 
-_CALLS = [(1, "Merci. La parole est à Alice Dupont."), (2, "la parole est à X, puis la parole à Bob"), (3, "rien"), (4, "Je dis que la parole est a Y")]
+# Turns with a phrase in their middle, another for each turn number; every so many have none.
+def _phrase_sql(phrases: tuple[str, ...]) -> str:
+    listed = ", ".join("'" + p.replace("'", "''") + "'" for p in (*phrases, "merci"))
+    return f"text || '. Alors ' || [{listed}][CAST(turn % {len(phrases) + 1} AS INTEGER) + 1] || ' ' || text"
+
+
+def _with_phrase(phrases: tuple[str, ...]) -> Column:
+    phrase = F.element_at(F.array(*map(F.lit, (*phrases, "merci"))), (F.col("turn") % (len(phrases) + 1)).cast("int") + 1)
+    return F.concat("text", F.lit(". Alors "), phrase, F.lit(" "), "text")
+
+
+_LAST = ", ".join(f"CASE WHEN contains(said, '{p}') THEN length(said) - strpos(reverse(said), reverse('{p}')) + 1 - length('{p}') END" for p in text.CALL_PATTERNS)
 
 
-@query("handoff_anchor", "SELECT * FROM (VALUES (1, 7), (2, 24), (3, -1), (4, 11)) AS v(id, anchor)")
+@query("handoff_anchor", f"WITH s AS (SELECT conv_id, turn, lower({_phrase_sql(text.CALL_PATTERNS)}) AS said FROM conversations) SELECT conv_id, turn, coalesce(CAST(greatest({_LAST}) AS INTEGER), -1) AS anchor FROM s")
 def handoff_anchor(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame(_CALLS, "id int, text string")
-    return rows.select("id", F.coalesce(text.last_place(F.lower("text"), *text.CALL_PATTERNS), F.lit(-1)).alias("anchor"))
+    said = F.lower(_with_phrase(text.CALL_PATTERNS))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.coalesce(text.last_place(said, *text.CALL_PATTERNS), F.lit(-1)).alias("anchor"))
 
 
-@query("chair_turns", "SELECT * FROM (VALUES (1, true), (2, true), (3, false), (4, false)) AS v(id, chair)")
+@query("chair_turns", f"""WITH s AS (SELECT conv_id, turn, lower({_phrase_sql(text.CHAIR_PATTERNS)}) AS said FROM conversations) SELECT conv_id, turn, {" OR ".join("contains(said, '" + p.replace("'", "''") + "')" for p in text.CHAIR_PATTERNS)} AS chair FROM s""")
 def chair_turns(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame(_CALLS, "id int, text string").select("id", text.contains_any(F.col("text")).alias("chair"))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.contains_any(_with_phrase(text.CHAIR_PATTERNS)).alias("chair"))
 
 
-@query("sentence_contexts", "SELECT * FROM (VALUES (1, ' la parole est à alice dupont', 17, 29), (2, 'la parole est à x, puis la parole à bob', 16, 17)) AS v(id, sentence, first, last)")
+@query(
+    "sentence_contexts",
+    r"""WITH s AS (SELECT conv_id, turn, text, length(text) // 2 AS a, least(length(text), length(text) // 2 + 5) AS b FROM conversations),
+    l AS (SELECT *, length(regexp_extract(substr(text, 1, a), '(?s)^.*[.?!]')) AS lead, length(regexp_extract(substr(text, b + 1), '(?s)^[^.?!]*')) AS tail FROM s)
+    SELECT conv_id, turn, lower(substr(text, lead + 1, b + tail - lead)) AS sentence, CAST(a - lead AS INTEGER) AS first, CAST(b - lead AS INTEGER) AS last FROM l""",
+)
 def sentence_contexts(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([(*_CALLS[0], 23, 35), (*_CALLS[1], 16, 17)], "id int, text string, s int, e int")
-    c = text.sentence_context(F.col("text"), F.col("s"), F.col("e"))
-    return rows.select("id", c["sentence"].alias("sentence"), c["start"].alias("first"), c["end"].alias("last"))
+    a = F.floor(F.length("text") / 2).cast("int")
+    c = text.sentence_context(F.col("text"), a, F.least(F.length("text"), a + 5))
+    return table(spark, d, "conversations").select("conv_id", "turn", c["sentence"].alias("sentence"), c["start"].alias("first"), c["end"].alias("last"))
 
 
-@query("token_normal_forms", r"SELECT conv_id, turn, regexp_replace(lower(trim(split_part(text, ' ', 1))), '[^\p{L}\p{N}_'']', '', 'g') AS token FROM conversations")
-def token_normal_forms(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "conversations").select("conv_id", "turn", text.token_norm(F.split_part("text", F.lit(" "), F.lit(1))).alias("token"))
+_TOKENS = r"regexp_extract_all(text, '[^\s\x0b]+')"
 
 
-@query("turn_tokens_normalized")
-def turn_tokens_normalized(spark: SparkSession, d: str) -> DataFrame:
-    """Every token of every turn with its place from 0; token_normal_forms has the first alone."""
+@query("token_normal_forms", rf"WITH t AS (SELECT conv_id, turn, unnest({_TOKENS}) AS token, CAST(unnest(range(len({_TOKENS}))) AS INTEGER) AS position FROM conversations) SELECT conv_id, turn, position, regexp_replace(lower(token), '[^\p{{L}}\p{{N}}_'']', '', 'g') AS token FROM t")
+def token_normal_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every token of every turn with its place from 0."""
     tokens = F.regexp_extract_all("text", F.lit(r"(?U)\S+"), F.lit(0))
     return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(tokens).alias("position", "token")).withColumn("token", text.token_norm(F.col("token")))
 
@@ -171,6 +176,7 @@ def cer_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query("wer_cer")
 def wer_cer(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "conversations")
-    a, b = rows.filter("turn = 0").select("conv_id", F.col("text").alias("a")), rows.filter("turn = 2").select("conv_id", F.col("text").alias("b"))
-    return a.join(b, "conv_id").select("conv_id", text.wer("a", "b").alias("wer"), text.cer(F.col("a"), F.col("b")).alias("cer"), weighted_ratio("a", "b").alias("wratio"))
+    """Each turn against the one before it."""
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("a"), before.alias("b")).filter("b is not null")
+    return rows.select("conv_id", "turn", text.wer("a", "b").alias("wer"), text.cer(F.col("a"), F.col("b")).alias("cer"), weighted_ratio("a", "b").alias("wratio"))

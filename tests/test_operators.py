@@ -1,5 +1,6 @@
 """Literal cases and small models of the session operators."""
 
+import random
 import struct
 
 import numpy as np
@@ -89,9 +90,71 @@ def test_handoff_names_next_speaker(spark):
     vote = identity.voted(proof, ["session_id", "target_speaker_id"]).first()
     assert (vote["votes"], vote["total_votes"], vote["purity"]) == (2, 2, 1.0)
     who = {r["turn_id"]: (r["current_person"]["name"], r["source"]) for r in identity.turn_identities(talk, proof).collect()}
-    assert who == {1: (identity.CHAIR[2], "assembly_chair_pattern"), 2: ("Alice Dupont", "chair_next_speaker_call")}
+    assert who == {1: ("Yaël Braun-Pivet", "hardcoded_assembly_chair"), 2: ("Alice Dupont", "chair_next_speaker_call")}
     people = identity.mentioned(mentions, names).first()["mentioned_persons"]
-    assert [p["name"] for p in people] == ["Alice Dupont", "Bob Martin"]
+    assert [p["name"] for p in people] == ["Alice Dupont", "bob martin"]  # nobody known: the normalised name
+
+
+def test_closest_name_equals_comparing_all():
+    rng = random.Random(5)
+    parts = ["jean", "marie", "dupont", "dupond", "martin", "le", "pen", "braun-pivet", "yael", "chaix", "bernard", "laurent", "marcangeli", "de", "la", "tour"]
+    known = [" ".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(120)]
+    names = fuzzy.Names(known)
+    for _ in range(150):
+        query = " ".join(rng.choices([*parts, "dupon", "marcangelli", "zz", "bern"], k=rng.randint(2, 4)))
+        scores = [fuzzy.wratio(query, k) for k in known]
+        best = max(scores)
+        assert names.closest(query) == (scores.index(best), best), query
+
+
+def test_best_name_is_guarded_after_the_match(spark):
+    """The closest name decides; another that would pass the guard does not take its place."""
+    known = spark.createDataFrame([("1", "Alicia Dupontel", None, "deputy", 0), ("2", "Alice Durand", None, "deputy", 1), ("3", "Zoé", None, "deputy", 2), ("4", "Max", None, "deputy", 3), ("5", "Max", None, "deputy", 4)], "id string, name string, role string, kind string, src_order long")
+    names = spark.createDataFrame([(n,) for n in ("Alice Dupontel", "Alicia Dupontel", "ZOÉ", "Max", "Élodie Inconnue", "Zo")], "name string")
+    got = {r["name"]: (r["id"], r["resolved_name"], r["match_score"] > 0) for r in identity.resolved_names(names, known).collect()}
+    assert got["Alice Dupontel"][0] == "1" and got["Alicia Dupontel"][0] == "1" and got["ZOÉ"] == ("3", "Zoé", True)
+    assert got["Max"] == (None, "max", False) and got["Élodie Inconnue"] == (None, "elodie inconnue", True) and got["Zo"] == (None, "zo", False)
+    with pytest.raises(identity.TooManyPeople):
+        identity.resolved_names(names, known, identity.IdentityConfig(most_people=4))
+
+
+def test_generic_mentions_and_kinds(spark):
+    words = ["Madame la députée", "MONSIEUR  LE MINISTRE", "Madame Dupont", "ministre"]
+    df = spark.createDataFrame([("PER", 0.9, w) for w in words], "entity_group string, score double, word string")
+    assert [r["word"] for r in identity.person_mentions(df).collect()] == ["Madame Dupont", "ministre"]
+    kinds = spark.createDataFrame([(x,) for x in ("minister:a", "assembly_chair:b", "assembly_chari:b", "assembly_chaii:b", "assemby_chair:b", "PA1")], "id string").select(identity.person_kind(F.col("id")).alias("k"))
+    assert [r["k"] for r in kinds.collect()] == ["minister", "assembly_chair", "assembly_chair", "assembly_chair", "deputy", "deputy"]
+
+
+def test_evidence_of_turns(spark):
+    talk = spark.createDataFrame([(1, 1, "C", "La séance est ouverte. La parole est à Bob Lee.", 0.0, 4.0), (1, 2, "S", "Merci.", 4.0, 14.0), (1, 3, "S", "Suite.", 14.0, 20.0), (1, 4, "T", "Vous avez la parole, Bob Lee", 20.0, 21.0), (1, 5, "S", "Oui.", 21.0, 22.0)], "session_id long, turn_id long, speaker_id string, text string, start_seconds double, end_seconds double")
+    mentions = spark.createDataFrame([(1, 1, 0, "Bob Lee", 39, 46), (1, 4, 1, "Bob Lee", 21, 28)], "session_id long, turn_id long, ord int, word string, start int, end int")
+    known = spark.createDataFrame([("7", "Bob Lee", "Député", "deputy", 0)], "id string, name string, role string, kind string, src_order long")
+    names = identity.resolved_names(mentions.select(F.col("word").alias("name")), known)
+    proof = identity.evidence_of(identity.predictions(mentions, talk), names, talk)
+    assert sorted((r["source_turn_id"], r["target_turn_id"], r["source"], r["eligible_for_cluster_majority"]) for r in proof.collect()) == [(1, 2, "chair_next_speaker_call", True), (4, 5, "chair_next_speaker_call", True)]
+    lists = {r["turn_id"]: [(e["source"], e["person"]["name"], e["match_score"]) for e in r["evidence"]] for r in identity.turn_evidence(talk, proof).collect()}
+    assert lists == {1: [("hardcoded_assembly_chair", "Yaël Braun-Pivet", 100.0)], 2: [("chair_next_speaker_call", "Bob Lee", 100.0)], 4: [("hardcoded_assembly_chair", "Yaël Braun-Pivet", 100.0)], 5: [("chair_next_speaker_call", "Bob Lee", 100.0)]}
+    ranked = {r["speaker_id"]: (r["person_key"]["normalized_name"], r["evidence_purity"], r["absolute_purity"]) for r in identity.cluster_majorities(identity.majority_evidence(talk, proof), talk).collect()}
+    assert ranked["S"] == ("bob lee", 1.0, 11 / 17) and ranked["C"][0] == "yael braun-pivet"
+    who = {r["turn_id"]: (r["current_person"]["name"], r["source"], r["purity"]) for r in identity.turn_identities(talk, proof).collect()}
+    assert who[3] == ("Bob Lee", "propagated_from_speaker_cluster", 1.0) and who[2][1] == "chair_next_speaker_call" and who[4][1] == "hardcoded_assembly_chair"
+
+
+def test_turns_carry_flags_and_own_evidence(spark):
+    said = spark.createDataFrame([(1, 1, 0.0, 4.0, "a", 1), (1, 2, 4.0, 8.0, "b", 0), (1, 3, 30.0, 31.0, "c", 0)], "session_id long, segment_id long, start_seconds double, end_seconds double, text string, flags long")
+    heard = spark.createDataFrame([(1, 1, "A", 0.0, 3.0, 0), (1, 2, "B", 2.5, 4.0, 1 << 30), (1, 3, "A", 4.0, 8.0, 0)], "session_id long, segment_id long, speaker_id string, start_seconds double, end_seconds double, flags long")
+    match = alignment.elected(said, heard).orderBy("transcript_segment_id").collect()
+    scores = match[0]["speaker_evidence_score"]
+    assert match[0]["speaker_confidence"] == pytest.approx(scores["A"] / (scores["A"] + scores["B"])) and match[2]["speaker_confidence"] is None
+    turn = turns.consolidated(alignment.elected(said, heard), said, heard).collect()
+    assert len(turn) == 1 and turn[0]["text"] == "a b" and turn[0]["flags"] == 1 | 1 << 30 | 1 << 31
+    assert turn[0]["speaker_evidence_ratio"] == pytest.approx(7 / 8)  # A alone: 0 to 3 and 4 to 8
+
+
+def test_unknown_speakers_do_not_merge(spark):
+    rows = spark.createDataFrame([(1, 1, None, 0.0, 1.0), (1, 2, None, 1.0, 2.0), (1, 3, "A", 2.0, 3.0), (1, 4, "A", 3.0, 4.0)], SEG)
+    assert [r["turn_id"] for r in turns.turn_numbers(rows, ("start_seconds",)).orderBy("segment_id").collect()] == [1, 2, 3, 3]
 
 
 def test_look_ahead_over_one_speaker(spark):
@@ -116,6 +179,9 @@ def test_crop(spark):
     assert tuple(clamp[0]) == pytest.approx((1799.064, 1799.064))
     grown = row.select(legacy.crop(F.col("a"), F.col("b"), F.col("d")).alias("x")).select("x.*").collect()
     assert all(b - a == pytest.approx(0.8) for a, b in grown)
+    odd = spark.createDataFrame([(0.1, 0.3, 0.9), (8.0, 12.0, 10.0), (5.0, 5.1, 9.2), (1.0, 1.1, 1.5)], "a double, b double, d double")
+    got = [tuple(r) for r in odd.select(legacy.crop(F.col("a"), F.col("b"), F.col("d")).alias("x")).select("x.*").collect()]
+    assert got == [pytest.approx(x) for x in [(0.0, 0.8), (5.0, 9.0), (4.65, 5.45), (0.0, 0.5)]]  # short recordings keep their last second; late intervals shift
     assert tuple(grown[2]) == pytest.approx((0.0, 0.8))
 
 
@@ -241,7 +307,14 @@ def test_frames_and_flow(spark):
     assert abs(got[0]["spectral_centroid"] - 1000) < 5 and abs(got[0]["rms"] - 0.5 / 2**0.5) < 1e-3
     assert abs(got[0]["zcr"] - 0.125) < 0.01 and got[0]["spectral_flatness"] < 0.01
     rows = spark.createDataFrame([(1, 1, "A", 0.0, 1.0, "x" * 500 + "."), (1, 2, "A", 1.0, 2.0, "b"), (1, 3, "B", 2.0, 3.0, "c"), (1, 4, "B", 9.0, 10.0, "d")], SEG + ", text string")
-    assert [r["group_id"] for r in legacy.grouped_by_flow(rows).orderBy("segment_id").collect()] == [1, 2, 3, 4]
+    assert [r["group_id"] for r in legacy.grouped_by_flow(rows).orderBy("segment_id").collect()] == [1, 1, 2, 2]  # one segment closes no sentence; another speaker ends the group
+    texts = ["word " * 12, "more words here and there until it is long enough " * 2 + "end.", "next.", "part", "z " * 450, "tail", "Done.", "x", "y"]
+    speakers, others = ["A"] * 7 + ["A", None], [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.5, 0.0]
+    flow = spark.createDataFrame([(1, k, s, float(k), k + 1.0, t, o) for k, (t, s, o) in enumerate(zip(texts, speakers, others))], SEG + ", text string, other_seconds double")
+    assert [r["group_id"] for r in legacy.grouped_by_flow(flow).orderBy("segment_id").collect()] == [1, 1, 2, 2, 2, 3, 3, 4, 5]
+    quiet = spark.createDataFrame([("y", 16000, [0.9] * 4096 + [0.0] * 9000)], "path string, rate int, samples array<float>")
+    levels = [r["db"] for r in legacy.spectral_frames(quiet).orderBy("frame_index").collect()]
+    assert max(levels) - min(levels) == pytest.approx(80, abs=1e-3)
     values = spark.createDataFrame([(0.0,), (1.0,)], "x double")
     assert [round(r["density"], 4) for r in legacy.density(values, "x", [0.0, 0.5, 1.0], 1.0).orderBy("point").collect()] == [0.3205, 0.3521, 0.3205]
 

@@ -59,10 +59,10 @@ def test_whole_texts_and_all_tokens(spark):
     docs = pd.read_parquet(f"{FOLDER}/documents.parquet")
     bare = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
     wanted = {r.doc_id: re.sub(r"[ \t\n\x0b\f\r]+", " ", bare(r.text.lower())) for r in docs[docs.lang == "fr"].itertuples() if r.text is not None}
-    found = {r["doc_id"]: r["normalized"] for r in catalog.QUERIES["french_texts_normalized"](spark, FOLDER).collect()}
+    found = {r["doc_id"]: r["normalized"] for r in catalog.QUERIES["french_words_normalized"](spark, FOLDER).collect()}
     assert {d: t for d, t in found.items() if t is not None} == wanted
     assert any("." in t[:-1] for t in wanted.values())
     turns = pd.read_parquet(f"{FOLDER}/conversations.parquet")
     wanted = Counter((r.conv_id, r.turn, k, re.sub(r"[^\w']", "", w.lower())) for r in turns.itertuples() for k, w in enumerate((r.text or "").split()))
-    found = Counter(tuple(r) for r in catalog.QUERIES["turn_tokens_normalized"](spark, FOLDER).collect())
+    found = Counter(tuple(r) for r in catalog.QUERIES["token_normal_forms"](spark, FOLDER).collect())
     assert found == wanted and max(k for _, _, k, _ in wanted) > 0

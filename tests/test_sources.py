@@ -18,8 +18,10 @@ def test_people_list(spark, tmp_path):
     header = ",".join(f'"{h}"' for h in schemas.PEOPLE_HEADER)
     good = tmp_path / "good.csv"
     good.write_text(header + "\n" + line + "\n" + line.replace("d:1", "minister:2") + "\n", encoding="utf-8")
-    got = readers.known_people(spark, str(good)).orderBy("src_order").collect()
-    assert [(r["name"], r["kind"]) for r in got] == [("Alice Dupont", "deputy"), ("Alice Dupont", "minister")]
+    got = readers.known_people(spark, str(good), str(good)).orderBy("src_order").collect()
+    assert [(r["name"], r["kind"], r["role"]) for r in got] == [("Alice Dupont", "deputy", "Député")] * 3 + [("Alice Dupont", "minister", "Juriste")]
+    good.write_text(header + "\n" + line.replace("d:1", "assembly_chari:2").replace("Juriste", " ") + "\n", encoding="utf-8")
+    assert [(r["kind"], r["role"]) for r in readers.known_people(spark, ministers=str(good)).collect()] == [("assembly_chair", None)]
     bad = tmp_path / "bad.csv"
     bad.write_text(header + "\n" + '"a","b"\n', encoding="utf-8")
     with pytest.raises(Exception, match="malformed rows: 2"):
@@ -96,7 +98,12 @@ def test_runs(tmp_path):
     (tmp_path / "in/c.txt").write_text("z")
     assert runs.process(tmp_path / "in/c.txt", tmp_path, {}).manifest["status"] == "skipped_invalid_input"
     assert runs.Run.begin(tmp_path / "processed/a.wav", tmp_path / "r", today=date(2026, 1, 2)).folder.name.startswith("2026-01-02_no-date_a_")
-    assert sinks.free_path(tmp_path / "processed/a.wav").name == "a-2.wav"
+    again = runs.Run.begin(tmp_path / "processed/a.wav", tmp_path / "r", today=date(2026, 1, 2))
+    assert again.folder.name.endswith("-2") and len(list((tmp_path / "r").iterdir())) == 2
+    (tmp_path / "in/a.wav").write_bytes(b"x")
+    assert sinks.move_file(tmp_path / "in/a.wav", tmp_path / "processed").name == "a-2.wav"
+    assert [runs.stem_date(x) for x in ("seance_9 Juin_2026", "le 3-AOUT-2025", "1 fevrier 2024", "12-décembre-2025")] == ["2026-06-09", "2025-08-03", "2024-02-01", "2025-12-12"]
+    assert runs.slug("seance 14 avril 2026 QAG é") == "seance-qag-e"
 
 
 def test_hooks(spark):
