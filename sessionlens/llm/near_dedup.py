@@ -242,7 +242,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
     """Per row: id, n_shingles, component_id and kept (whether the row's id is its component's)."""
     sketch = stored(sketches(docs, id_col, text_col, config), "near-sketches")
     has = sketch.filter("n > 0 and id is not null")
-    least = has.groupBy("h1", "h2").agg(F.min("id").alias("node"))  # equal sets
+    least = stored(has.groupBy("h1", "h2").agg(F.min("id").alias("node")), "near-sets")  # equal sets
     nodes = has.join(least.select(F.col("node").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
     band = nodes.select("id", F.posexplode("regs").alias("band", "value")).select("id", F.xxhash64("band", "value").alias("key"))
     meet = band.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("far")).filter("center < far").select("key", "center")
