@@ -100,6 +100,16 @@ def shared_seconds(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KE
     return total(a, "left_seconds").join(total(b, "right_seconds"), list(keys), "full").join(both, list(keys), "left").fillna(0.0, ["left_seconds", "right_seconds", "shared_seconds"])
 
 
+def speech_totals(segments: DataFrame, durations: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Seconds with and without speech of each recording; the latter is 0 at least.
+
+    durations: keys, duration_seconds. A recording without segments has no speech.
+    """
+    spoken = segments.groupBy(*keys).agg(F.sum(F.greatest(F.lit(0.0), F.col("end_seconds") - F.col("start_seconds"))).alias("speech_seconds_total"))
+    rows = durations.join(spoken, list(keys), "left").fillna(0.0, ["speech_seconds_total"])
+    return rows.withColumn("non_speech_seconds_total", F.greatest(F.lit(0.0), F.col("duration_seconds") - F.col("speech_seconds_total")))
+
+
 def nearest(left: DataFrame, right: DataFrame, tolerance: float = 1.5, keys: tuple[str, ...] = KEYS, width: float = 60.0) -> DataFrame:
     """For each left row without an overlap, the nearest right row at most ``tolerance`` away; the earliest of equals.
 

@@ -112,6 +112,38 @@ def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
     return joined.select("normalized_name", "kind", *[F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("name", "external_id", "role")])
 
 
+def _found(key: Column, asked: Column, what: str, shown: Column) -> Column:
+    """The key; an error that names what was asked for, if that is not null and has none."""
+    message = F.concat(F.lit(f"{what} not loaded: "), shown.cast("string"))
+    return F.when(asked & key.isNull(), F.raise_error(message).cast("long")).otherwise(key)
+
+
+def with_clusters(rows: DataFrame, clusters: DataFrame, label: str = "speaker_id") -> DataFrame:
+    """Add ``cluster_id``, the key of a speaker label in its session. A label without one is an error when rows are read; none has none.
+
+    clusters: session_id, label, cluster_id.
+    """
+    keys = clusters.select("session_id", F.col("label").alias(label), F.col("cluster_id").cast("long").alias("_key"))
+    joined = rows.join(keys, ["session_id", label], "left")
+    return joined.select(*[F.col(c) for c in rows.columns], _found(F.col("_key"), F.col(label).isNotNull(), "speaker cluster", F.col(label)).alias("cluster_id"))
+
+
+def with_persons(rows: DataFrame, people: DataFrame, person: str = "current_person") -> DataFrame:
+    """Add ``person_id``, the key of a person by its normalised name and kind. A person without one is an error when rows are read.
+
+    rows: a struct of name and kind, or null for nobody. people: normalized_name, kind, person_id.
+    """
+    keys = people.select(F.col("normalized_name").alias("_name"), F.col("kind").alias("_kind"), F.col("person_id").cast("long").alias("_key"))
+    asked = rows.withColumns({"_name": normalize_name(F.col(f"{person}.name")), "_kind": F.col(f"{person}.kind")})
+    joined = asked.join(keys, ["_name", "_kind"], "left")
+    return joined.select(*[F.col(c) for c in rows.columns], _found(F.col("_key"), F.col(person).isNotNull(), "person", F.col("_name")).alias("person_id"))
+
+
+def evidence_json(evidence: Column) -> Column:
+    """The JSON column of a turn's evidence: a list of objects with all fields, nulls too; [] without any."""
+    return F.coalesce(F.to_json(evidence, {"ignoreNullFields": "false"}), F.lit("[]"))
+
+
 def bridges(turns: DataFrame, column: str) -> DataFrame:
     """One row a turn and id of one of its id arrays."""
     return turns.select("session_id", "turn_id", F.explode(column).alias("segment_id")).distinct()

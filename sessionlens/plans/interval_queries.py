@@ -268,3 +268,14 @@ def turns_from_alignment(spark: SparkSession, d: str) -> DataFrame:
 @query("timeline_states")
 def timeline_states(spark: SparkSession, d: str) -> DataFrame:
     return intervals.timeline_states(diarization(spark, d), transcript(spark, d), 5.0)
+
+
+@query(
+    "vad_totals",
+    f"""WITH {SEGMENTS_SQL}, d AS (SELECT session_id, max(end_seconds) AS duration FROM seg GROUP BY session_id), v AS (SELECT session_id, sum(end_seconds - start_seconds) AS speech FROM va GROUP BY session_id)
+    SELECT d.session_id, round(duration, 3) AS duration_seconds, round(coalesce(speech, 0), 3) AS speech_seconds_total, round(greatest(0, duration - coalesce(speech, 0)), 3) AS non_speech_seconds_total FROM d LEFT JOIN v USING (session_id)""",
+)
+def vad_totals(spark: SparkSession, d: str) -> DataFrame:
+    length = segments(spark, d).groupBy("session_id").agg(F.max("end_seconds").alias("duration_seconds"))
+    rows = intervals.speech_totals(voice(spark, d), length)
+    return rows.select("session_id", *[F.round(c, 3).alias(c) for c in ("duration_seconds", "speech_seconds_total", "non_speech_seconds_total")])

@@ -271,3 +271,28 @@ def fuzzy_person_match(spark: SparkSession, d: str) -> DataFrame:
     known = spark.createDataFrame([(i, n, None, k, int(i)) for i, n, k in _PEOPLE], "id string, name string, role string, kind string, src_order long")
     names = spark.createDataFrame([(n,) for n in _ASKED], "name string")
     return identity.resolved_names(names, known).select("name", "resolved_name", "kind")
+
+
+@query(
+    "segment_cluster_keys",
+    f"WITH {SEGMENTS_SQL}, c AS (SELECT session_id, speaker_id, row_number() OVER (PARTITION BY session_id ORDER BY speaker_id) AS cluster_id FROM (SELECT DISTINCT session_id, speaker_id FROM seg)) SELECT session_id, segment_id, speaker_id, CAST(cluster_id AS BIGINT) AS cluster_id FROM di JOIN c USING (session_id, speaker_id)",
+)
+def segment_cluster_keys(spark: SparkSession, d: str) -> DataFrame:
+    labels = segments(spark, d).select("session_id", F.col("speaker_id").alias("label")).distinct()
+    rows = diarization(spark, d).select("session_id", "segment_id", "speaker_id")
+    return loading.with_clusters(rows, loading.numbered(labels, "cluster_id", ["label"]))
+
+
+@query(
+    "turn_person_keys",
+    """WITH p AS (SELECT DISTINCT lower(n_name) AS name FROM nation), k AS (SELECT name, row_number() OVER (ORDER BY name) AS person_id FROM p)
+    SELECT c_custkey, CAST(CASE WHEN c_custkey % 7 > 0 THEN person_id ELSE -1 END AS BIGINT) AS person_id FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN k ON lower(n_name) = k.name""",
+)
+def turn_person_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Persons by name and kind; every seventh row names nobody."""
+    nation = table(spark, d, "nation")
+    listed = nation.select(F.lower("n_name").alias("normalized_name"), F.lit("raw_per").alias("kind"), F.lit(0).alias("one")).distinct()
+    people = loading.numbered(listed, "person_id", ["normalized_name"], ("one",))
+    who = F.when(F.col("c_custkey") % 7 > 0, F.struct(F.concat(F.lit(" "), "n_name").alias("name"), F.lit("raw_per").alias("kind")))
+    rows = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", who.alias("current_person"))
+    return loading.with_persons(rows, people).select("c_custkey", F.coalesce("person_id", F.lit(-1).cast("long")).alias("person_id"))

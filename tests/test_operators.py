@@ -157,6 +157,21 @@ def test_unknown_speakers_do_not_merge(spark):
     assert [r["turn_id"] for r in turns.turn_numbers(rows, ("start_seconds",)).orderBy("segment_id").collect()] == [1, 2, 3, 3]
 
 
+def test_keys_that_are_not_loaded(spark):
+    rows = spark.createDataFrame([(1, "A"), (1, None), (2, "A")], "session_id long, speaker_id string")
+    clusters = spark.createDataFrame([(1, "A", 5)], "session_id long, label string, cluster_id long")
+    assert [r["cluster_id"] for r in loading.with_clusters(rows.filter("session_id = 1"), clusters).orderBy("speaker_id").collect()] == [None, 5]
+    with pytest.raises(Exception, match="speaker cluster not loaded: A"):
+        loading.with_clusters(rows, clusters).collect()
+    who = spark.createDataFrame([(1, ("Élodie  Martin", "deputy")), (2, None)], "turn_id long, current_person struct<name: string, kind: string>")
+    people = spark.createDataFrame([("elodie martin", "deputy", 9)], "normalized_name string, kind string, person_id long")
+    assert [r["person_id"] for r in loading.with_persons(who, people).orderBy("turn_id").collect()] == [9, None]
+    with pytest.raises(Exception, match="person not loaded"):
+        loading.with_persons(who, people.withColumn("kind", F.lit("minister"))).collect()
+    lists = spark.createDataFrame([(1, [("x", None)]), (2, None)], "turn_id long, e array<struct<source: string, target: string>>")
+    assert [r[0] for r in lists.orderBy("turn_id").select(loading.evidence_json(F.col("e"))).collect()] == ['[{"source":"x","target":null}]', "[]"]
+
+
 def test_look_ahead_over_one_speaker(spark):
     rows = spark.createDataFrame([(1, i, "CHAIR") for i in (1, 2, 3)], "session_id long, turn_id long, speaker_id string")
     got = {r["turn_id"]: r["predicted_turn_id"] for r in identity.looked_ahead(rows).collect()}
