@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.flags import any_of, flag_if
+from ..functions.flags import any_of, flag_if, flag_names
 from ..functions.text import count_bytes, count_chars, count_words
 from .intervals import KEYS, inner_gaps, overlap_join, point_join
 
@@ -63,17 +63,19 @@ def density_flags(config: AuditConfig = AuditConfig()) -> Column:
 
 
 def frame_stats(segments: DataFrame, frames: DataFrame, config: AuditConfig = AuditConfig()) -> DataFrame:
-    """Per segment: frames inside (ends included), mean, p10, p50 and p90 of db, p95 of db_delta."""
+    """Per segment: frames inside (ends included), mean, p10, p50 and p90 of db, p95 of db_delta, and means of rms and zcr where frames have them."""
     spans = segments.select("session_id", "segment_id", "start_seconds", "end_seconds")
     inside = point_join(frames, spans, "frame_center_seconds", "start_seconds", "end_seconds", KEYS, config.width)
+    means = [f for f in ("rms", "zcr") if f in frames.columns]
     found = inside.groupBy("session_id", "segment_id").agg(
         F.count("*").alias("frame_count"),
         F.avg(F.col("db").cast("double")).alias("db_mean"),
         F.percentile("db", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("_p"),
         F.percentile("db_delta", F.lit(0.95)).alias("db_delta_p95"),
+        *[F.avg(F.col(f).cast("double")).alias(f"{f}_mean") for f in means],
     )
     out = spans.select("session_id", "segment_id").join(found, ["session_id", "segment_id"], "left")
-    return out.select("session_id", "segment_id", F.coalesce("frame_count", F.lit(0)).cast("long").alias("frame_count"), "db_mean", *[F.get("_p", F.lit(k)).alias(n) for k, n in enumerate(("db_p10", "db_p50", "db_p90"))], "db_delta_p95")
+    return out.select("session_id", "segment_id", F.coalesce("frame_count", F.lit(0)).cast("long").alias("frame_count"), "db_mean", *[F.get("_p", F.lit(k)).alias(n) for k, n in enumerate(("db_p10", "db_p50", "db_p90"))], "db_delta_p95", *[f"{f}_mean" for f in means])
 
 
 def rolling_median(frames: DataFrame, size: int = 21) -> DataFrame:
@@ -127,3 +129,24 @@ def audited(segments: DataFrame, voice: DataFrame, frames: DataFrame, regions: D
     quiet = (seconds <= config.event_seconds) & (F.col("frame_count") > 0) & (F.col("db_p50") <= config.quiet_db) & (F.col("db_delta_p95") >= config.event_db)
     found = any_of(whisper_flags(config), density_flags(config), voice_flags(seconds, config), flag_if(quiet, "MOSTLY_SILENCE_WITH_SHORT_EVENT"), flag_if(F.col("crowd_seconds") > 0, "DIARIZATION_OVERLAP"))
     return rows.withColumns({"crowd_seconds": F.coalesce("crowd_seconds", F.lit(0.0)), "crowd_regions": F.coalesce("crowd_regions", F.lit(0)).cast("long"), "flags": F.coalesce("flags", F.lit(0).cast("long")).bitwiseOR(found)})
+
+
+# Fields of a record beside a segment, in their order ("text_byte_cout" is spelt so).
+SIDECAR = (
+    "segment_id", "start_seconds", "end_seconds", "duration_seconds", "text_char_count", "text_word_count", "text_byte_cout", "vad_coverage",
+    "diarization_overlap_seconds", "diarization_overlap_region_count", "frame_count", "db_mean", "db_p10", "db_p50", "db_p90", "db_delta_p95",
+    "rms_mean", "zcr_mean", "avg_logprob", "no_speech_prob", "compression_ratio", "flags", "flag_names",
+)
+
+
+def sidecar(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The record beside each segment, from ``audited`` rows; figures that weren't measured are null."""
+    text = F.col("text")
+    named = {
+        "duration_seconds": F.col("end_seconds") - F.col("start_seconds"),
+        "text_char_count": count_chars(text), "text_word_count": count_words(text), "text_byte_cout": count_bytes(text),
+        "vad_coverage": F.col("coverage"), "diarization_overlap_seconds": F.col("crowd_seconds"), "diarization_overlap_region_count": F.col("crowd_regions"),
+        "flag_names": flag_names(F.col("flags")),
+    }
+    lacking = {c: F.lit(None).cast("double") for c in ("rms_mean", "zcr_mean", "compression_ratio") if c not in rows.columns}
+    return rows.withColumns(named | lacking).select(*keys, *SIDECAR)

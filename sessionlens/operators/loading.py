@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, title_of
 from ..sources.schemas import REFERENCES, TABLES, UNIQUE
+from .identity import cluster_majorities
 
 
 class LoadError(ValueError):
@@ -177,3 +181,53 @@ def remapped_source(source: Column, evidence: Column) -> Column:
     """The source of a turn's speaker; an old one without evidence is a speaker's majority."""
     old = source.isin(*OLD_SOURCES)
     return F.when(old & (F.coalesce(F.size(evidence), F.lit(0)) <= 0), "propagated_from_speaker_cluster").otherwise(source)
+
+
+def run_id(runs: DataFrame, session: int, stage: str) -> int:
+    """The id of the run of a stage of a session; an error if there is none."""
+    found = runs.filter((F.col("session_id") == session) & (F.col("stage") == stage)).select("run_id").limit(1).collect()
+    if not found:
+        raise MissingReference(f"pipeline_run: session {session}, stage {stage!r}")
+    return found[0]["run_id"]
+
+
+def config_json(config) -> str:
+    """The JSON column of a stage's configuration."""
+    return json.dumps(asdict(config), ensure_ascii=False)
+
+
+def cluster_rows(labels: DataFrame, turns: DataFrame, evidence: DataFrame, people: DataFrame) -> DataFrame:
+    """Speaker clusters as they are loaded: number in order of labels, speech, the person with the longest evidence, both purities.
+
+    Only evidence that is eligible, and whose target is a turn with a speaker, counts; each piece
+    weighs as much as its turn is long. evidence: session_id, target_turn_id,
+    eligible_for_cluster_majority, person. A person that isn't loaded and a tie are errors.
+    """
+    spoken = turns.filter("speaker_id is not null")
+    targets = spoken.select("session_id", F.col("turn_id").alias("target_turn_id"), "speaker_id", (F.col("end_seconds") - F.col("start_seconds")).alias("seconds"))
+    able = evidence.filter("eligible_for_cluster_majority").join(targets, ["session_id", "target_turn_id"])
+    keyed = with_persons(able, people, "person").select("session_id", "speaker_id", F.col("person_id").alias("person_key"), "seconds")
+    won = cluster_majorities(keyed, spoken).select("session_id", F.col("speaker_id").alias("label"), F.col("person_key").alias("majority_person_id"), "evidence_purity", "absolute_purity")
+    rows = clusters(spoken, labels).join(won, ["session_id", "label"], "left")
+    return conformed(numbered(rows, "cluster_id", ["label"]), "speaker_cluster")
+
+
+def embedding_rows(turn_vectors: DataFrame, chunk_vectors: DataFrame, runs: DataFrame, model: str, normalized: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of embedding, turn_embedding and semantic_chunk: ids count the turns' vectors first, then the chunks'.
+
+    turn_vectors: session_id, turn_id, embedding. chunk_vectors: session_id, turn_id, chunk_index,
+    start_sentence_index, end_sentence_index, text, embedding. runs: session_id, run_id. Vectors of
+    different lengths in a session are an error when rows are read.
+    """
+    if not model:
+        raise InvalidArtifact("the metadata name no model")
+    marks = ("chunk_index", "start_sentence_index", "end_sentence_index")
+    first = turn_vectors.select("session_id", F.lit(0).alias("_part"), "turn_id", *[F.lit(None).cast("int").alias(c) for c in marks], F.lit(None).cast("string").alias("text"), "embedding")
+    rows = first.unionByName(chunk_vectors.select("session_id", F.lit(1).alias("_part"), "turn_id", *marks, "text", "embedding"))
+    sizes = Window.partitionBy("session_id")
+    size = F.size("embedding")
+    equal = F.min(size).over(sizes) == F.max(size).over(sizes)
+    rows = numbered(rows, "embedding_id", ["_part", "turn_id", "chunk_index"]).withColumn("dimension", F.when(equal, size).otherwise(F.raise_error(F.lit("vectors of different dimensions")).cast("int")))
+    rows = rows.join(runs.select("session_id", "run_id"), "session_id")
+    base = rows.withColumns({"model_name": F.lit(model), "vector": F.col("embedding"), "dtype": F.lit("float32"), "normalized": F.lit(normalized)})
+    return conformed(base, "embedding"), conformed(rows.filter("_part = 0"), "turn_embedding"), conformed(rows.filter("_part = 1"), "semantic_chunk")

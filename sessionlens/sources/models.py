@@ -10,6 +10,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.legacy import crop
 
 Encoder = Callable[[list[str]], np.ndarray]
 Recognizer = Callable[[str], list[dict]]
@@ -60,3 +63,31 @@ def intervals(files: DataFrame, load: Callable[[], Callable[[bytes], list[tuple[
             yield pd.DataFrame(out, columns=["path", "segment_id", "start_seconds", "end_seconds", "speaker_id"])
 
     return files.select("path", "content").mapInPandas(run, "path string, segment_id int, start_seconds double, end_seconds double, speaker_id string")
+
+
+def voice_prints(files: DataFrame, segments: DataFrame, load: Callable[[], Callable[[bytes, float, float], np.ndarray]], skip_below: float = 0.08, least: float = 0.8) -> DataFrame:
+    """Vectors of the voice in each segment: session_id, segment_id, speaker_id, embedding.
+
+    Segments shorter than ``skip_below`` seconds have none. Others grow to ``least`` seconds inside the
+    recording. files: session_id, content, duration_seconds. The model takes a recording and a time
+    range; what it returns must be one vector. A recording is decoded where its segments are.
+    """
+    length = F.col("end_seconds") - F.col("start_seconds")
+    asked = segments.filter(length >= skip_below).join(files.select("session_id", "duration_seconds"), "session_id")
+    cut = crop(F.col("start_seconds"), F.col("end_seconds"), F.col("duration_seconds"), least)
+    asked = asked.select("session_id", "segment_id", "speaker_id", cut.alias("c")).select("session_id", "segment_id", "speaker_id", F.col("c.start_seconds").alias("a"), F.col("c.end_seconds").alias("b"))
+    kinds = asked.schema
+
+    def run(audio: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(audio) and len(parts):
+            model, content = load(), bytes(audio["content"].iloc[0])
+            for x in parts.sort_values("segment_id").itertuples():
+                v = np.asarray(model(content, x.a, x.b)).squeeze().astype(np.float32)
+                if v.ndim != 1:
+                    raise ValueError(f"segment {x.segment_id}: the model returned {v.shape} instead of one vector")
+                out.append((x.session_id, x.segment_id, x.speaker_id, v))
+        return pd.DataFrame(out, columns=["session_id", "segment_id", "speaker_id", "embedding"])
+
+    fields = ", ".join(f"{c} {kinds[c].dataType.simpleString()}" for c in ("session_id", "segment_id", "speaker_id"))
+    return files.select("session_id", "content").groupBy("session_id").cogroup(asked.groupBy("session_id")).applyInPandas(run, f"{fields}, embedding array<float>")

@@ -8,6 +8,7 @@ import json
 import wave
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -132,6 +133,14 @@ def archives(spark: SparkSession, path: str, vector: str = "embeddings") -> Data
     return raw.mapInPandas(run, "path string, ord long, ids string, vector array<float>")
 
 
+def metadata(path: str) -> dict:
+    """A small JSON object that stands beside vectors."""
+    value = json.loads(Path(path).read_text(encoding="utf-8"))
+    if not isinstance(value, dict):
+        raise InvalidInput(f"{path}: metadata must be one JSON object")
+    return value
+
+
 def waves(spark: SparkSession, folder: str, seconds: float = 30.0) -> DataFrame:
     """PCM WAV files as mono float samples in pieces: path, rate, first_sample, samples."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.[wW][aA][vV]").load(folder).select("path", "content")
