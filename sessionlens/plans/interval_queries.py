@@ -265,7 +265,17 @@ def turns_from_alignment(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("session_id", "turn_id", "speaker_id", "start_seconds", "end_seconds", "text", shown, *[F.round(c, 6).alias(c) for c in ("speaker_confidence", "speaker_evidence_ratio")])
 
 
-@query("timeline_states")
+def _held(name: str, rows: str) -> str:
+    return f"{name} AS (SELECT DISTINCT session_id, unnest(range(CAST(ceil(start_seconds / 5) AS BIGINT), CAST(floor(end_seconds / 5) AS BIGINT) + 1)) AS k FROM {rows})"
+
+
+@query(
+    "timeline_states",
+    f"""WITH {SEGMENTS_SQL}, pt AS (SELECT session_id, unnest(range(CAST(floor(max(end_seconds) / 5) AS BIGINT) + 1)) AS k FROM (SELECT * FROM seg WHERE event_type IN ('purchase', 'signup', 'view', 'click')) GROUP BY session_id), {_held("hl", "di")}, {_held("hr", "tr")},
+    st AS (SELECT pt.session_id, pt.k, CAST((hl.k IS NOT NULL) AS INTEGER) + 2 * CAST((hr.k IS NOT NULL) AS INTEGER) AS state FROM pt LEFT JOIN hl ON hl.session_id = pt.session_id AND hl.k = pt.k LEFT JOIN hr ON hr.session_id = pt.session_id AND hr.k = pt.k),
+    fr AS (SELECT *, CASE WHEN state = lag(state) OVER (PARTITION BY session_id ORDER BY k) THEN 0 ELSE 1 END AS f FROM st), ru AS (SELECT *, sum(f) OVER (PARTITION BY session_id ORDER BY k) AS run FROM fr)
+    SELECT session_id, CAST(run AS BIGINT) AS run, min(state) AS state, CAST(min(k) * 5 AS DOUBLE) AS start_seconds, CAST(max(k) * 5 AS DOUBLE) AS end_seconds, count(*) AS samples FROM ru GROUP BY session_id, run""",
+)
 def timeline_states(spark: SparkSession, d: str) -> DataFrame:
     return intervals.timeline_states(diarization(spark, d), transcript(spark, d), 5.0)
 

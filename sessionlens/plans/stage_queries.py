@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import audit, decoding, intervals, legacy, loading
+from ..operators import audit, decoding, intervals, legacy, loading, parsed
 from ..sources.adapters import SEGMENTS_SQL, diarization, segments, table, transcript, voice
 from .interval_queries import _CLIP, _FRAMES, _REGIONS, frames
 from .registry import query
@@ -167,3 +167,30 @@ def embedding_load(spark: SparkSession, d: str) -> DataFrame:
     parts = vectors.filter("vec_id % 4 < 2").select("session_id", F.expr("vec_id div 2").alias("turn_id"), index.alias("chunk_index"), index.alias("start_sentence_index"), (index + 1).alias("end_sentence_index"), F.lit("x").alias("text"), "embedding")
     runs = spark.range(3).select(F.col("id").alias("session_id"), (F.col("id") + 10).alias("run_id"))
     return loading.embedding_rows(said, parts, runs, "m", True)[0].drop("vector")
+
+
+# Words of conversations as a parse: every third word of a turn stands on its own, the others depend on the last such word.
+_PARSE_SQL = """pw AS (SELECT conv_id, turn, string_split(text, ' ') AS ws FROM conversations WHERE text IS NOT NULL), pk AS (SELECT conv_id, turn, unnest(ws) AS word, unnest(range(len(ws))) AS k FROM pw),
+    pt AS (SELECT *, CASE WHEN k % 3 = 0 THEN NULL ELSE k - k % 3 END AS h, CASE k % 3 WHEN 0 THEN CASE WHEN k % 2 = 0 THEN 'nsubj' ELSE 'root' END WHEN 1 THEN 'flat:name' ELSE 'appos' END AS dep, CASE WHEN k % 3 < 2 THEN 'PROPN' ELSE 'NOUN' END AS pos FROM pk)"""
+
+
+@query(
+    "person_candidates",
+    f"""WITH {_PARSE_SQL}, ch AS (SELECT conv_id, turn, h AS k, string_agg(CASE WHEN dep = 'flat:name' THEN word END, ' ' ORDER BY k) AS flat, max(CASE WHEN dep = 'flat:name' THEN 2 ELSE 0 END) + max(CASE WHEN dep = 'appos' THEN 1 ELSE 0 END) AS below FROM pt WHERE h IS NOT NULL GROUP BY ALL),
+    fu AS (SELECT pt.*, word || coalesce(' ' || flat, '') AS name, coalesce(below, 0) AS below FROM pt LEFT JOIN ch ON ch.conv_id = pt.conv_id AND ch.turn = pt.turn AND ch.k = pt.k),
+    sc AS (SELECT a.conv_id, a.turn, a.k AS i, 1 + CASE WHEN a.pos = 'PROPN' THEN 3 ELSE 0 END + CASE a.dep WHEN 'flat:name' THEN 3 WHEN 'appos' THEN 2 WHEN 'nsubj' THEN 2 ELSE 0 END + CASE WHEN b.dep = 'nsubj' THEN 2 ELSE 0 END + CASE WHEN b.pos = 'PROPN' THEN 1 ELSE 0 END + CASE WHEN lower(b.word) IN ({", ".join(repr(t) for t in parsed.TITLES)}) THEN 2 ELSE 0 END + a.below AS score,
+      CASE WHEN a.dep = 'flat:name' AND b.pos = 'PROPN' THEN b.name WHEN a.pos = 'PROPN' THEN a.name ELSE a.word END AS candidate_name FROM fu a LEFT JOIN fu b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.k = a.h)
+    SELECT conv_id, turn, CAST(i AS INTEGER) AS i, CAST(score AS INTEGER) AS score, candidate_name FROM sc WHERE score > 6""",
+)
+def person_candidates(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations").filter("text is not null")
+    k = F.col("i")
+    words = turns.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("i", "text"))
+    dep = F.when(k % 3 == 0, F.when(k % 2 == 0, "nsubj").otherwise("root")).when(k % 3 == 1, "flat:name").otherwise("appos")
+    tokens = words.withColumns({"head_i": F.when(k % 3 != 0, k - k % 3), "dep": dep, "pos": F.when(k % 3 < 2, "PROPN").otherwise("NOUN"), "ent_type": F.lit("PER")})
+    return parsed.person_candidates(tokens, keys=("conv_id", "turn")).select("conv_id", "turn", "i", "score", "candidate_name")
+
+
+@query("language_shares", "SELECT lang, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM documents), 6) AS percent FROM documents GROUP BY lang")
+def language_shares(spark: SparkSession, d: str) -> DataFrame:
+    return parsed.shares(table(spark, d, "documents"), "lang").withColumn("percent", F.round("percent", 6))

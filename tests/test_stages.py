@@ -1,6 +1,7 @@
 """Decoder output, anchors, sidecars, anomalies, loaded rows, voice prints and the command line."""
 
 import json
+import wave
 from dataclasses import dataclass
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from sessionlens import __main__ as cli
-from sessionlens.operators import audit, decoding, legacy, loading
+from sessionlens.operators import audit, decoding, legacy, loading, parsed
 from sessionlens.sources import models, readers, sinks
 
 WORDS = "session_id long, ord int, start_seconds double, end_seconds double, text string, words array<struct<start: double, end: double, word: string>>"
@@ -168,3 +169,36 @@ def test_command_line(spark, tmp_path, capsys):
     assert [r["vec_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [3]
     with pytest.raises(SystemExit):
         cli.main(["run", "nothing", "--tables", "x"])
+
+
+def test_person_candidates(spark):
+    columns = "segment_id int, i int, text string, pos string, dep string, head_i int, ent_type string"
+    tokens = spark.createDataFrame([
+        (1, 0, "Madame", "NOUN", "nsubj", 3, None), (1, 1, "Claire", "PROPN", "appos", 0, "PER"), (1, 2, "Lenoir", "PROPN", "flat:name", 1, "PER"),
+        (1, 3, "parle", "VERB", "root", None, None), (2, 0, "Paul", "PROPN", "vocative", None, "PER"), (2, 1, "toit", "NOUN", "obj", 0, "PER"),
+    ], columns)
+    rows = {(r["segment_id"], r["i"]): (r["score"], r["candidate_name"]) for r in parsed.person_candidates(tokens).collect()}
+    # 1 + 3 + 2 (appos) + 2 (head nsubj) + 2 (title) + 2 (flat child); 1 + 3 + 3 + 1 (head PROPN)
+    assert rows == {(1, 1): (12, "Claire Lenoir"), (1, 2): (8, "Claire Lenoir")}
+    assert parsed.person_candidates(tokens.limit(0)).count() == 0
+
+
+def test_phrase_persons(spark):
+    said = spark.createDataFrame([(1, "La PAROLE est à Paul."), (2, "Bonjour Paul"), (3, "la parole est libre"), (4, None)], "segment_id int, text string")
+    entities = spark.createDataFrame([(1, 1, "PER", "Paul"), (1, 0, "LOC", "Lyon"), (2, 0, "PER", "Paul")], "segment_id int, ord int, label string, text string")
+    assert {r["segment_id"]: r["persons"] for r in parsed.phrase_persons(said, entities).collect()} == {1: ["Paul"], 3: []}
+
+
+def test_resampled_waves(spark, tmp_path):
+    rate, t = 48000, np.arange(48000 * 3) / 48000
+    tone, high = np.sin(2 * np.pi * 440 * t), np.sin(2 * np.pi * 12000 * t)
+    with wave.open(str(tmp_path / "a.wav"), "wb") as w:
+        w.setnchannels(1), w.setsampwidth(2), w.setframerate(rate)
+        w.writeframes(((tone + high) * 0.4 * 32767).astype("<i2").tobytes())
+    rows = readers.waves(spark, str(tmp_path), seconds=1.0, rate=16000).orderBy("first_sample").collect()
+    assert [(r["rate"], r["first_sample"], len(r["samples"])) for r in rows] == [(16000, k * 16000, 16000) for k in range(3)]
+    found = np.concatenate([r["samples"] for r in rows])
+    wanted = 0.4 * np.sin(2 * np.pi * 440 * np.arange(48000) / 16000)
+    assert np.abs(found - wanted)[200:-200].max() < 2e-3  # the tone beyond 8 kHz is gone, seams don't show
+    plain = readers.waves(spark, str(tmp_path), seconds=1.0).orderBy("first_sample").collect()
+    assert sum(len(r["samples"]) for r in plain) == 48000 * 3 and plain[1]["first_sample"] == 48000
