@@ -182,6 +182,31 @@ def cer(hypothesis: Column, reference: Column) -> Column:
     return F.when(F.length(reference) > 0, F.levenshtein(hypothesis, reference) / F.length(reference))
 
 
+def edits(a: list[str] | str, b: list[str] | str) -> int:
+    """Edit distance of two lists or strings, a whole column of the table at a time in two integers (Myers, Hyyrö)."""
+    if not b:
+        return len(a)
+    where: dict[str, int] = {}
+    for i, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << i
+    full, last, found = (1 << len(b)) - 1, len(b) - 1, len(b)
+    up, down = full, 0
+    for x in a:
+        same = where.get(x, 0)
+        flat = (((same & up) + up) ^ up) | same | down
+        plus, minus = (down | ~(flat | up)) & full, up & flat
+        found += (plus >> last & 1) - (minus >> last & 1)
+        plus, minus = plus << 1 | 1, minus << 1
+        up, down = (minus | ~(flat | plus)) & full, plus & flat & full
+    return found
+
+
+@F.pandas_udf(DoubleType())
+def cer_of_texts(hypothesis: pd.Series, reference: pd.Series) -> pd.Series:
+    """``cer`` of texts of many words, in fewer steps."""
+    return pd.Series([edits(h, r) / len(r) if h is not None and r else None for h, r in zip(hypothesis, reference, strict=True)], dtype=float)
+
+
 @F.pandas_udf(DoubleType())
 def wer(hypothesis: pd.Series, reference: pd.Series) -> pd.Series:
     """Word error rate: edit distance of the words over the reference's words."""
@@ -189,12 +214,7 @@ def wer(hypothesis: pd.Series, reference: pd.Series) -> pd.Series:
     def one(h: str | None, r: str | None) -> float | None:
         if h is None or r is None or not r.split():
             return None
-        a, b = h.split(), r.split()
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1] / len(b)
+        b = r.split()
+        return edits(h.split(), b) / len(b)
 
     return pd.Series([one(h, r) for h, r in zip(hypothesis, reference, strict=True)])

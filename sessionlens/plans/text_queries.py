@@ -179,4 +179,4 @@ def wer_cer(spark: SparkSession, d: str) -> DataFrame:
     """Each turn against the one before it."""
     before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
     rows = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("a"), before.alias("b")).filter("b is not null")
-    return rows.select("conv_id", "turn", text.wer("a", "b").alias("wer"), text.cer(F.col("a"), F.col("b")).alias("cer"), weighted_ratio("a", "b").alias("wratio"))
+    return rows.select("conv_id", "turn", text.wer("a", "b").alias("wer"), text.cer_of_texts("a", "b").alias("cer"), weighted_ratio("a", "b").alias("wratio"))

@@ -1,10 +1,13 @@
 """Figures of intervals without a row for each pair, against all pairs."""
 
 import os
+import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from sessionlens.functions import fuzzy, text
 from sessionlens.functions.ranges import Greatest, Ranked, Spans, Sums
 from sessionlens.operators import alignment, turns
 from sessionlens.plans import catalog
@@ -67,3 +70,27 @@ def test_aligned_turns_are_the_consolidated_ones(spark, seed):
     show = lambda df: [[round(v, 9) if isinstance(v, float) else v for v in r] for r in df.orderBy("turn_id").collect()]
     got = show(turns.aligned(left, right, max_silence=700.0))
     assert got == show(want) and len(got) > 3
+
+
+def test_long_texts_are_compared_in_batches():
+    """All windows of two texts of 1500 and 6000 characters; one by one they take minutes."""
+    rng = random.Random(4)
+    made = lambda n: "".join(rng.choice("abc éd  ") for _ in range(n))
+    pairs = [(made(rng.choice([0, 1, 5, 30, 70])), made(rng.choice([0, 1, 2, 9, 30]))) for _ in range(150)]
+    assert fuzzy.partial_ratios(pairs) == [fuzzy.partial_ratio(a, b) for a, b in pairs]
+    assert fuzzy.wratios(pairs) == [fuzzy.wratio(a, b) for a, b in pairs]
+    for a, b in pairs:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        assert text.edits(a, b) == text.edits(list(a), list(b)) == row[-1]
+    long = made(6000)
+    assert fuzzy.partial_ratios([(long[2000:3500], long)]) == [100.0]
+
+
+def test_character_rates_of_texts(spark):
+    rows = spark.createDataFrame([("chat", "chats"), ("", "é"), ("x", ""), (None, "a"), ("a", None), ("un 𝄞 là", "un la")], "a string, b string")
+    got = rows.select(text.cer_of_texts("a", "b"), text.cer(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
