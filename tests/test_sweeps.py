@@ -3,6 +3,7 @@
 import os
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,13 @@ from sessionlens.plans import catalog
 FOLDER = "/root/testdata/sf0.001"
 #: Queries whose rows aren't pairs: their plans must join no pairs.
 NO_PAIRS = [
+    "speaker_election",
+    "speaker_scores",
+    "overlap_regions",
+    "partial_overlap_spread",
+    "vad_flags",
+    "vad_coverage",
+    "raw_segment_overlap_flags",
     "segment_audit",
     "frame_stats_per_segment",
     "turns_from_alignment",
@@ -122,3 +130,27 @@ def test_voice_of_crowded_segments(spark):
             gap = max((x - max(b for _, b in parts[:k]) for k, (x, _) in enumerate(parts) if k), default=0)
             want = min(1, sum(b - a for a, b in parts) / (e - s)) if e > s else empty
             assert (got[i]["coverage"], got[i]["max_gap_seconds"]) == (pytest.approx(want), max(gap, 0))
+
+
+def test_segments_without_length_inside_a_region(spark):
+    rows = made(spark, [(1, "S0", 0.0, 10.0), (2, "S1", 4.0, 8.0), (3, "S2", 5.0, 5.0), (4, "S1", 5.0, 5.0), (5, "S2", 4.0, 4.0), (6, "S2", 9.0, 9.0)])
+    got = {r["segment_id"]: r["overlap_speaker_ids"] for r in intervals.other_speakers(rows, intervals.overlap_regions(rows)).collect()}
+    assert got == {1: ["S1"], 2: ["S0"], 3: ["S0", "S1"], 4: ["S0"], 5: [], 6: []}
+
+
+def without_length(spark, folder):
+    """Tables of three events at one moment, of which the text segment has no length."""
+    rows = [(0, 0, "view", 0.0), (1, 0, "error", 50.0), (2, 3, "purchase", 50.0)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").withColumn("ts", F.expr("timestamp '2024-01-02 00:00:00' - make_interval(0, 0, 0, 0, 0, 0, event_id)"))
+    events.write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["vad_coverage", "vad_flags"])
+def test_text_without_length_as_in_sql(spark, tmp_path, name):
+    folder = without_length(spark, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{folder}/events.parquet/*.parquet')")
+    want = con.sql(catalog.ORACLES[name]).df()
+    got = catalog.QUERIES[name](spark, folder).toPandas()[list(want.columns)]
+    assert got.values.tolist() == want.values.tolist() and len(got) == 1
