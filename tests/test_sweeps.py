@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 
 from sessionlens.functions import fuzzy, text
 from sessionlens.functions.ranges import Greatest, Ranked, Spans, Sums
-from sessionlens.operators import alignment, audit, intervals, turns
+from sessionlens.operators import alignment, audit, intervals, legacy, turns
 from sessionlens.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 #: Queries whose rows aren't pairs: their plans must join no pairs.
 NO_PAIRS = [
+    "multi_speaker_segments",
+    "midpoint_assignment",
+    "token_anchors",
+    "longest_overlap_assignment",
+    "flatness_spikes",
     "speaker_election",
     "speaker_scores",
     "overlap_regions",
@@ -154,3 +159,50 @@ def test_text_without_length_as_in_sql(spark, tmp_path, name):
     want = con.sql(catalog.ORACLES[name]).df()
     got = catalog.QUERIES[name](spark, folder).toPandas()[list(want.columns)]
     assert got.values.tolist() == want.values.tolist() and len(got) == 1
+
+
+def test_assignments_of_crowded_segments(spark):
+    rows, others = crowd(7), crowd(8)
+    left = made(spark, rows).selectExpr("session_id", "segment_id a_id", "start_seconds a_start", "end_seconds a_end")
+    right = made(spark, others).selectExpr("session_id", "segment_id b_id", "speaker_id", "start_seconds b_start", "end_seconds b_end")
+    best = {r["a_id"]: (r["b_id"], r["overlap_seconds"]) for r in intervals.by_longest_overlap(left, right).collect()}
+    middle = {r["a_id"]: r["b_id"] for r in intervals.by_midpoint(left, right).collect()}
+    shared = {(r["a_id"], r["b_id"]): r["overlap_seconds"] for r in intervals.overlap_join(left, right).collect()}
+    assert intervals.overlap_join(left, right).count() == len(shared)
+    want = {(i, j): min(e, y) - max(s, x) for i, _, s, e in rows for j, _, x, y in others if min(e, y) > max(s, x)}
+    assert shared == want
+    for i, _, s, e in rows:
+        met = [(-want[i, j], x, j) for j, _, x, _ in others if (i, j) in want]
+        assert best.get(i) == ((min(met)[2], -min(met)[0]) if met else None)
+        held = [(x, j) for j, _, x, y in others if x <= (s + e) / 2 <= y]
+        assert middle.get(i) == (min(held)[1] if held else None)
+
+
+def test_each_pair_of_long_intervals_meets_once(spark):
+    """A pair that shares 100 buckets is joined in one of them, not in all."""
+    left = spark.createDataFrame([(1, 1, 0.0, 6000.0)], "session_id long, a_id long, a_start double, a_end double")
+    right = spark.createDataFrame([(1, 2, 30.0, 6000.0)], "session_id long, b_id long, b_start double, b_end double")
+    pairs = intervals.overlap_join(left, right)
+    assert [r["overlap_seconds"] for r in pairs.collect()] == [5970.0]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2 and plan.count("Generate explode") == 2
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_frames_that_overlap_crowded_segments(spark, ordered):
+    rows, rng = crowd(12, 30), np.random.default_rng(2)
+    start = np.sort(rng.integers(0, 160, 300) * 500.0)
+    length = np.full(300, 250.0) if ordered else rng.integers(1, 9, 300) * 250.0
+    sounds = [(1, k, float(t), float(t + n), float(rng.integers(-70, 0)), None if k % 13 == 0 else float(rng.integers(0, 50)) / 9) for k, (t, n) in enumerate(zip(start, length, strict=True))]
+    frames = spark.createDataFrame(sounds, "session_id long, frame_index long, start_seconds double, end_seconds double, db double, spectral_flatness double")
+    got = {r["segment_id"]: r for r in legacy.flatness_spikes(made(spark, rows), frames).collect()}
+    for i, _, s, e in rows:
+        inside = [x for x in sounds if min(e, x[3]) > max(s, x[2])]
+        voiced = [x[5] for x in inside if x[4] >= -50]
+        known = [x for x in voiced if x is not None]
+        r = got[i]
+        assert (r["frame_count"], r["voiced_frame_count"]) == (len(inside), len(voiced))
+        step = max((abs(b - a) for a, b in zip(voiced, voiced[1:], strict=False) if a is not None and b is not None), default=0.0)
+        want = [np.mean(known), max(known), np.std(known)] if known else [None] * 3
+        assert [r["flatness_mean"], r["flatness_max"], r["flatness_std"]] == pytest.approx(want) if known else r["flatness_mean"] is None
+        assert r["flatness_delta_max"] == (step if voiced else None)
