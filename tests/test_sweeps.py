@@ -41,6 +41,13 @@ def test_no_row_for_each_pair(spark, name):
     assert "_bucket" not in plan and "FlatMapCoGroupsInArrow" in plan
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+@pytest.mark.parametrize("name", ["other_speaker_overlaps", "interval_overlap_join"])
+def test_pairs_are_shuffled_and_not_broadcast(spark, name):
+    plan = catalog.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def crowd(seed, n=60, speakers=3):
     """Rows (segment_id, speaker_id, start, end) that lie densely, some equal and some without length, over several stretches of time."""
     rng = np.random.default_rng(seed)
